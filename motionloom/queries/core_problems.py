@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motionloom.operators.episodes import episode_settings
+from motionloom.operators.episodes import chunk_table, episode_settings
 from motionloom.operators.regular_grid import regular_grid
+from motionloom.operators.spikes import implausible_readings
 from motionloom.sources.tables import table
 
 STATE_WIDTH = 8
+JOINTS = 7
 
 
 def p1_grid(spark: SparkSession, folder: str) -> DataFrame:
@@ -33,7 +35,19 @@ def p1_coverage(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {"p1_found": p1_found, "p1_grid": p1_grid, "p1_coverage": p1_coverage}
+def p3_flags(spark: SparkSession, folder: str) -> DataFrame:
+    """Every implausible reading with its score and reason."""
+    frames = table(spark, folder, "frames")
+    settings = episode_settings(table(spark, folder, "episodes"), None, table(spark, folder, "quality_thresholds"), ("joint_low", "joint_high"))
+    return implausible_readings(frames, chunk_table(frames, settings), STATE_WIDTH, JOINTS)
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The implausible readings by row, field and component."""
+    return p3_flags(spark, folder).select(F.col("record_id").alias("global_index"), "field", "component").distinct()
+
+
+QUERIES = {"p1_found": p1_found, "p1_grid": p1_grid, "p1_coverage": p1_coverage, "p3_found": p3_found, "p3_flags": p3_flags}
 
 _DEDUP = """
 f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY global_index ORDER BY received_at) AS _rn FROM frames) WHERE _rn = 1),
