@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from motionloom.operators.episodes import chunk_table, episode_settings
+from motionloom.operators import orphans
 from motionloom.operators.regular_grid import regular_grid
 from motionloom.operators.spikes import implausible_readings
 from motionloom.sources.tables import table
@@ -47,7 +48,28 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return p3_flags(spark, folder).select(F.col("record_id").alias("global_index"), "field", "component").distinct()
 
 
-QUERIES = {"p1_found": p1_found, "p1_grid": p1_grid, "p1_coverage": p1_coverage, "p3_found": p3_found, "p3_flags": p3_flags}
+def _p5_state(spark: SparkSession, folder: str) -> orphans.OrphanState:
+    f = table(spark, folder, "frames")
+    once = f.groupBy("global_index").agg(F.min("received_at").alias("at"), *[F.min_by(c, "received_at").alias(c) for c in ("task_index", "episode_index")])
+    info = table(spark, folder, "task_info").distinct()
+    fields = ("task_index", "episode_index")
+    refs = orphans.references(once, "frames", "global_index", fields, "at").unionByName(orphans.references(info, "task_info", "info_id", fields, "noted_at"))
+    targets = orphans.parents(table(spark, folder, "tasks"), "task_index", "created_at", "deleted_at").unionByName(orphans.parents(table(spark, folder, "episodes"), "episode_index", "registered_at", "withdrawn_at"))
+    return orphans.advance(None, refs, targets)
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Orphan references of frames and task_info."""
+    return _p5_state(spark, folder).pending.select("ref_table", "ref_field", "record_id", "kind")
+
+
+def p5_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    """Orphans per table, field and month."""
+    s = orphans.snapshots(_p5_state(spark, folder).pending)
+    return s.withColumn("month", F.date_format("month", "yyyy-MM"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_grid": p1_grid, "p1_coverage": p1_coverage, "p3_found": p3_found, "p3_flags": p3_flags, "p5_found": p5_found, "p5_snapshots": p5_snapshots}
 
 _DEDUP = """
 f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY global_index ORDER BY received_at) AS _rn FROM frames) WHERE _rn = 1),
@@ -63,7 +85,27 @@ g AS (SELECT episode_index, unnest(range(0, max(slot) + 1)) AS slot FROM s GROUP
 c AS (SELECT g.episode_index, g.slot, coalesce(s.n, 0) AS n_readings FROM g LEFT JOIN s USING (episode_index, slot))
 """
 
+_P5 = """WITH fr AS (SELECT DISTINCT global_index, received_at AS ts, task_index, episode_index FROM frames QUALIFY row_number() OVER (PARTITION BY global_index ORDER BY received_at) = 1),
+ti AS (SELECT DISTINCT * FROM task_info),
+r AS (SELECT 'frames' AS ref_table, 'task_index' AS ref_field, task_index AS key, global_index AS record_id, ts FROM fr
+  UNION ALL SELECT 'frames', 'episode_index', episode_index, global_index, ts FROM fr
+  UNION ALL SELECT 'task_info', 'task_index', task_index, info_id, noted_at FROM ti
+  UNION ALL SELECT 'task_info', 'episode_index', episode_index, info_id, noted_at FROM ti),
+p AS (SELECT DISTINCT 'task_index' AS ref_field, task_index AS key, created_at AS b, deleted_at AS d FROM tasks
+  UNION SELECT DISTINCT 'episode_index', episode_index, registered_at, withdrawn_at FROM episodes),
+j AS (SELECT r.ref_table, r.ref_field, r.key, r.record_id, r.ts, count(p.key) AS known,
+  count(*) FILTER (WHERE p.b <= r.ts AND (p.d IS NULL OR p.d > r.ts)) AS live, count(*) FILTER (WHERE p.d <= r.ts) AS ended, min(p.b) FILTER (WHERE p.b > r.ts) AS resolved_at
+  FROM r LEFT JOIN p ON p.ref_field = r.ref_field AND p.key = r.key WHERE r.key IS NOT NULL AND r.ts IS NOT NULL GROUP BY ALL),
+o AS (SELECT *, CASE WHEN known = 0 THEN 'missing' WHEN ended > 0 THEN 'deleted' ELSE 'late' END AS kind FROM j WHERE live = 0)
+"""
+
 SQL = {
+    "p5_found": _P5 + "SELECT ref_table, ref_field, record_id, kind FROM o",
+    "p5_snapshots": _P5 + """, ev AS (SELECT ref_table, ref_field, strftime(ts, '%Y-%m') AS month, kind, 1 AS n, 0 AS r FROM o
+  UNION ALL SELECT ref_table, ref_field, strftime(resolved_at, '%Y-%m'), kind, 0, 1 FROM o WHERE resolved_at IS NOT NULL),
+a AS (SELECT ref_table, ref_field, month, CAST(coalesce(sum(n) FILTER (WHERE kind = 'missing'), 0) AS BIGINT) AS missing, CAST(coalesce(sum(n) FILTER (WHERE kind = 'deleted'), 0) AS BIGINT) AS deleted,
+  CAST(coalesce(sum(n) FILTER (WHERE kind = 'late'), 0) AS BIGINT) AS late, CAST(sum(r) AS BIGINT) AS resolved FROM ev GROUP BY ALL)
+SELECT *, CAST(sum(missing + deleted + late - resolved) OVER (PARTITION BY ref_table, ref_field ORDER BY month) AS BIGINT) AS pending FROM a""",
     "p1_found": _P1 + "SELECT episode_index, slot FROM c WHERE n_readings = 0",
     "p1_coverage": _P1 + "SELECT episode_index, count(*) AS n_slots, count(*) FILTER (WHERE n_readings > 0) AS n_observed, CAST(sum(n_readings) AS BIGINT) AS n_readings FROM c GROUP BY episode_index",
 }
