@@ -9,6 +9,7 @@ from motionloom.operators.episodes import chunk_table, episode_settings
 from motionloom.operators import orphans
 from motionloom.operators.regular_grid import regular_grid
 from motionloom.operators.spikes import implausible_readings
+from motionloom.operators.units import CONTROL_QUANTITY, SPELLINGS, UNITS, common_units
 from motionloom.sources.tables import table
 
 STATE_WIDTH = 8
@@ -69,7 +70,18 @@ def p5_snapshots(spark: SparkSession, folder: str) -> DataFrame:
     return s.withColumn("month", F.date_format("month", "yyyy-MM"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_grid": p1_grid, "p1_coverage": p1_coverage, "p3_found": p3_found, "p3_flags": p3_flags, "p5_found": p5_found, "p5_snapshots": p5_snapshots}
+def p6_units(spark: SparkSession, folder: str) -> DataFrame:
+    """Every sensor reading with its unit and its value in the common unit."""
+    return common_units(table(spark, folder, "sensor_readings"), table(spark, folder, "physical_semantics"))
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Readings with a number that were recorded in another than the common unit."""
+    common = [next(iter(codes)) for codes in UNITS.values()]
+    return p6_units(spark, folder).where(F.col("number").isNotNull() & ~F.col("unit").isin(common)).select("reading_id", "unit").distinct()
+
+
+QUERIES = {"p1_found": p1_found, "p1_grid": p1_grid, "p1_coverage": p1_coverage, "p3_found": p3_found, "p3_flags": p3_flags, "p5_found": p5_found, "p5_snapshots": p5_snapshots, "p6_found": p6_found, "p6_units": p6_units}
 
 _DEDUP = """
 f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY global_index ORDER BY received_at) AS _rn FROM frames) WHERE _rn = 1),
@@ -99,7 +111,25 @@ j AS (SELECT r.ref_table, r.ref_field, r.key, r.record_id, r.ts, count(p.key) AS
 o AS (SELECT *, CASE WHEN known = 0 THEN 'missing' WHEN ended > 0 THEN 'deleted' ELSE 'late' END AS kind FROM j WHERE live = 0)
 """
 
+_SPELT = ", ".join(f"('{s}', '{code}', '{q}')" for q, codes in UNITS.items() for code in codes for s in SPELLINGS[code])
+_CONTROL = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in CONTROL_QUANTITY.items())
+_QUANTITY = f"coalesce(representation, CASE control_type {_CONTROL} ELSE control_type END)"
+_PLAIN = "rtrim(regexp_replace(lower(coalesce({}, '')), '[\\s·*]', '', 'g'), '.')"
+_P6 = f"""WITH spelt(s, code, quantity) AS (VALUES {_SPELT}),
+r AS (SELECT *, {_QUANTITY} AS quantity FROM (SELECT DISTINCT * FROM sensor_readings)),
+d AS (SELECT robot_id, {_QUANTITY} AS quantity, min(unit) AS declared FROM physical_semantics WHERE modality = 'sensor' GROUP BY ALL),
+x AS (SELECT r.*, d.declared, regexp_extract(note, '^(?:.*[^a-zA-Z])?(?:logged in|sensor card prints|valores en|raw channel is|all numbers|value given in|Werte in|unit:|operator confirms) +(.+?)(?: here|[)]|, not .*)?$', 1) AS n,
+  regexp_extract(value_text, '[0-9][.,0-9]* *([^0-9]?.*)$', 1) AS vt,
+  (value IS NOT NULL AND isfinite(value)) OR regexp_matches(value_text, '[0-9]') AS has_number FROM r LEFT JOIN d USING (robot_id, quantity)),
+u AS (SELECT x.reading_id, x.has_number, x.quantity, coalesce(a.code, b.code, c.code, e.code) AS unit FROM x
+  LEFT JOIN spelt a ON a.quantity = x.quantity AND a.s = {_PLAIN.format("n")}
+  LEFT JOIN spelt b ON b.quantity = x.quantity AND b.s = {_PLAIN.format("vt")}
+  LEFT JOIN spelt c ON c.quantity = x.quantity AND c.s = {_PLAIN.format("unit")}
+  LEFT JOIN spelt e ON e.quantity = x.quantity AND e.s = {_PLAIN.format("declared")})
+"""
+
 SQL = {
+    "p6_found": _P6 + "SELECT DISTINCT reading_id, unit FROM u WHERE has_number AND unit NOT IN ('rad', 'rad/s', 'Nm', 'm', 'dimensionless')",
     "p5_found": _P5 + "SELECT ref_table, ref_field, record_id, kind FROM o",
     "p5_snapshots": _P5 + """, ev AS (SELECT ref_table, ref_field, strftime(ts, '%Y-%m') AS month, kind, 1 AS n, 0 AS r FROM o
   UNION ALL SELECT ref_table, ref_field, strftime(resolved_at, '%Y-%m'), kind, 0, 1 FROM o WHERE resolved_at IS NOT NULL),
