@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from motionloom.llm.leakage import SPAN, leaked_passages
 from motionloom.llm.runs import collapse_runs
 from motionloom.operators.episodes import chunk_table, episode_settings
 from motionloom.sources.tables import table
@@ -25,7 +26,17 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return p2_runs(spark, folder).select("episode_index", "first_index", "last_index")
 
 
-QUERIES = {"p2_found": p2_found, "p2_runs": p2_runs}
+def p7_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with passages of evaluation items, equal or with few substitutions."""
+    return leaked_passages(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that contain twelve successive words of an item."""
+    return p7_passages(spark, folder).where(F.col("exact_words") >= SPAN).select("doc_id", "item_id")
+
+
+QUERIES = {"p2_found": p2_found, "p2_runs": p2_runs, "p7_found": p7_found, "p7_passages": p7_passages}
 
 _P2 = """WITH f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY global_index ORDER BY received_at) AS _rn FROM frames) WHERE _rn = 1),
 e AS (SELECT episode_index, min(robot_id) AS robot_id FROM episodes GROUP BY episode_index),
@@ -39,7 +50,15 @@ g AS (SELECT episode_index, run, min(global_index) AS first_index, max(global_in
 k AS (SELECT *, sum(n_rows) OVER (PARTITION BY episode_index) - sum(CASE WHEN n_rows >= 3 THEN n_rows - 1 ELSE 0 END) OVER (PARTITION BY episode_index) AS kept FROM g)
 """
 
+_WORDS = "list_filter(string_split_regex(lower(strip_accents(replace(regexp_replace(replace({}, chr(65279), ''), '</?[A-Za-z][^<>]*>', ' ', 'g'), 'ß', 'ss'))), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '')"
+_P7 = f"""WITH d AS (SELECT DISTINCT doc_id, {_WORDS.format("text")} AS w FROM documents WHERE text IS NOT NULL),
+i AS (SELECT item_id, {_WORDS.format("item_text")} AS w FROM eval_items),
+dg AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 10), lambda k: array_to_string(w[k:k + 11], ' '))) AS g FROM d WHERE len(w) >= 12),
+ig AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 10), lambda k: array_to_string(w[k:k + 11], ' '))) AS g FROM i WHERE len(w) >= 12)
+"""
+
 SQL = {
+    "p7_found": _P7 + "SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g)",
     "p2_found": _P2 + "SELECT episode_index, first_index, last_index FROM k WHERE n_rows >= 3 AND kept >= min_kept",
     "p2_runs": _P2 + "SELECT episode_index, first_index, last_index, n_rows, duration FROM k WHERE n_rows >= 3 AND kept >= min_kept",
 }
