@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from motionloom.llm.leakage import SPAN, leaked_passages
+from motionloom.llm.mixing import Mix
 from motionloom.llm.runs import collapse_runs
 from motionloom.operators.episodes import chunk_table, episode_settings
 from motionloom.sources.tables import table
@@ -36,7 +37,26 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return p7_passages(spark, folder).where(F.col("exact_words") >= SPAN).select("doc_id", "item_id")
 
 
-QUERIES = {"p2_found": p2_found, "p2_runs": p2_runs, "p7_found": p7_found, "p7_passages": p7_passages}
+def _mix(spark: SparkSession, folder: str) -> Mix:
+    return Mix(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))
+
+
+def p8_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Target and reached share of each source."""
+    return _mix(spark, folder).report()
+
+
+def p8_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """The mix itself: slots and the token ranges that fill them."""
+    return _mix(spark, folder).pieces()
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Sources that cannot reach their share."""
+    return p8_report(spark, folder).where("short").select("source")
+
+
+QUERIES = {"p2_found": p2_found, "p2_runs": p2_runs, "p7_found": p7_found, "p7_passages": p7_passages, "p8_found": p8_found, "p8_report": p8_report, "p8_mix": p8_mix}
 
 _P2 = """WITH f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY global_index ORDER BY received_at) AS _rn FROM frames) WHERE _rn = 1),
 e AS (SELECT episode_index, min(robot_id) AS robot_id FROM episodes GROUP BY episode_index),
