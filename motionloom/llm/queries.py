@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from motionloom.llm.leakage import SPAN, leaked_passages
 from motionloom.llm.mixing import Mix
+from motionloom.llm.quantiles import percentile_bounds
 from motionloom.llm.runs import collapse_runs
 from motionloom.operators.episodes import chunk_table, episode_settings
 from motionloom.sources.tables import table
@@ -27,6 +28,13 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return p2_runs(spark, folder).select("episode_index", "first_index", "last_index")
 
 
+def p4_percentiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Median and bounds of each action component per robot and day, and over all days."""
+    frames = table(spark, folder, "frames")
+    settings = episode_settings(table(spark, folder, "episodes"), None, table(spark, folder, "quality_thresholds"), ("quantile",))
+    return percentile_bounds(frames, chunk_table(frames, settings), ACTION_WIDTH).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+
+
 def p7_passages(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with passages of evaluation items, equal or with few substitutions."""
     return leaked_passages(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
@@ -56,7 +64,7 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return p8_report(spark, folder).where("short").select("source")
 
 
-QUERIES = {"p2_found": p2_found, "p2_runs": p2_runs, "p7_found": p7_found, "p7_passages": p7_passages, "p8_found": p8_found, "p8_report": p8_report, "p8_mix": p8_mix}
+QUERIES = {"p2_found": p2_found, "p2_runs": p2_runs, "p4_percentiles": p4_percentiles, "p7_found": p7_found, "p7_passages": p7_passages, "p8_found": p8_found, "p8_report": p8_report, "p8_mix": p8_mix}
 
 _P2 = """WITH f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY global_index ORDER BY received_at) AS _rn FROM frames) WHERE _rn = 1),
 e AS (SELECT episode_index, min(robot_id) AS robot_id FROM episodes GROUP BY episode_index),
@@ -77,7 +85,18 @@ dg AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 10), lambda k: arr
 ig AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 10), lambda k: array_to_string(w[k:k + 11], ' '))) AS g FROM i WHERE len(w) >= 12)
 """
 
+_P4 = """WITH f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY global_index ORDER BY received_at) AS _rn FROM frames) WHERE _rn = 1),
+e AS (SELECT episode_index, min(robot_id) AS robot_id FROM episodes GROUP BY episode_index),
+q AS (SELECT robot_id, min(quantile) AS quantile FROM quality_thresholds GROUP BY robot_id),
+v AS (SELECT e.robot_id, q.quantile, strftime(f.received_at, '%Y-%m-%d') AS day, unnest(range(0, 8)) AS component, unnest(f.action) AS x FROM f JOIN e USING (episode_index) JOIN q USING (robot_id) WHERE f.action IS NOT NULL),
+w AS (SELECT robot_id, quantile, day, component, CAST(x AS DOUBLE) AS x FROM v WHERE x IS NOT NULL AND isfinite(x)),
+g AS (SELECT robot_id, quantile, day, component, x FROM w UNION ALL SELECT robot_id, quantile, NULL, component, x FROM w),
+k AS (SELECT *, row_number() OVER (PARTITION BY robot_id, day, component ORDER BY x) AS r, count(*) OVER (PARTITION BY robot_id, day, component) AS n FROM g)
+SELECT robot_id, day, component, n, min(x) FILTER (WHERE r >= (1 - quantile) * n) AS low, min(x) FILTER (WHERE r >= 0.5 * n) AS median, min(x) FILTER (WHERE r >= quantile * n) AS high, 0.0::DOUBLE AS rank_error
+FROM k GROUP BY robot_id, day, component, n"""
+
 SQL = {
+    "p4_percentiles": _P4,
     "p7_found": _P7 + "SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g)",
     "p2_found": _P2 + "SELECT episode_index, first_index, last_index FROM k WHERE n_rows >= 3 AND kept >= min_kept",
     "p2_runs": _P2 + "SELECT episode_index, first_index, last_index, n_rows, duration FROM k WHERE n_rows >= 3 AND kept >= min_kept",
