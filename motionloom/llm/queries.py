@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from motionloom.llm.leakage import SPAN, leaked_passages
 from motionloom.llm.mixing import Mix
 from motionloom.llm.quantiles import percentile_bounds
+from motionloom.llm.residue import residue
 from motionloom.llm.runs import collapse_runs
 from motionloom.operators.episodes import chunk_table, episode_settings
 from motionloom.sources.tables import table
@@ -64,7 +65,17 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return p8_report(spark, folder).where("short").select("source")
 
 
-QUERIES = {"p2_found": p2_found, "p2_runs": p2_runs, "p4_percentiles": p4_percentiles, "p7_found": p7_found, "p7_passages": p7_passages, "p8_found": p8_found, "p8_report": p8_report, "p8_mix": p8_mix}
+def p9_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on every document (null: it stays in the corpus)."""
+    return residue(table(spark, folder, "documents"))
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents to leave out of the corpus."""
+    return p9_verdicts(spark, folder).where(F.col("verdict").isNotNull()).select("doc_id").distinct()
+
+
+QUERIES = {"p2_found": p2_found, "p2_runs": p2_runs, "p4_percentiles": p4_percentiles, "p7_found": p7_found, "p7_passages": p7_passages, "p8_found": p8_found, "p8_report": p8_report, "p8_mix": p8_mix, "p9_found": p9_found, "p9_verdicts": p9_verdicts}
 
 _P2 = """WITH f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY global_index ORDER BY received_at) AS _rn FROM frames) WHERE _rn = 1),
 e AS (SELECT episode_index, min(robot_id) AS robot_id FROM episodes GROUP BY episode_index),
