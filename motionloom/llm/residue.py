@@ -95,8 +95,9 @@ _MESSAGE_STEMS = (
     "not found", "is not on this", "maintenance", "timed out", "too many", "not answer", "traceback", "content produced", "stack trace", "gefunden", "konnte nicht", "verfügbar", "wartung", "no se pudo",
     "página", "disponible", "页面", "删除", "加载", "无法", "服务器", "维护", "超时", "出错", "拒绝",
 )
-#: Reasons stand alone or beside a status number.
+#: Reasons stand alone or beside a status number, so they count in short sentences.
 _REASON_CHARS = 60
+_REASON_STEMS = ("forbidden", "gone", "bad request", "bad gateway", "internal", "unavailable", "timeout", "time-out", "slow down", "conflict", "not implemented", "not allowed", "too large")
 _FILLER_STEMS = ("lorem", "text", "dummy", "placeholder", "here", "bla", "foo", "asdf", "qwerty", "test", "abc", "filler", "relleno", "ejemplo", "示例", "占位", "测试", "xxx")
 _PLACE_SIGNS = ("{", "<", "%(", "@@", "[", "__", "XXXX")
 _STATUS = re.compile(r"[45]\d\d")
@@ -146,7 +147,8 @@ def evidence(sentence: str) -> str | None:
     if len(sentence) > 240:
         return None
     low = sentence.lower()
-    if len(sentence) > _REASON_CHARS and not any(stem in low for stem in _MESSAGE_STEMS) and not _STATUS.search(sentence):
+    stems = _MESSAGE_STEMS if len(sentence) > _REASON_CHARS else _MESSAGE_STEMS + _REASON_STEMS
+    if not any(stem in low for stem in stems) and not _STATUS.search(sentence):
         return None
     if REPORTED.search(sentence):
         return None
