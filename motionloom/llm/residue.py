@@ -6,7 +6,8 @@ Pass 2 subtracts from each record the recurrent boilerplate lines of its host (s
 punctuation) and judges what is left:
 
 * ``placeholder``: an unfilled template place, outside sentences that speak about the place itself;
-* ``filler``: nothing but stock filler phrases, one repeated sign, or words most of which hardly occur elsewhere;
+* ``filler``: nothing but stock filler phrases, one repeated sign or token, or words most of which hardly occur
+  elsewhere;
 * ``error``, ``script`` or ``sign_in``: mostly an error message or a notice that scripts, sign-in or permission are
   needed, told by message-like sentences; sentences that report about such messages do not count.
 
@@ -36,7 +37,8 @@ WORD_SHARE = 1e-4
 LINE_SHARE = 5e-4
 LINE_CHARS = 80
 RARE_WORDS = 0.5
-LEAST_WORDS = 5
+LEAST_WORDS = 3
+REPEATED_TOKENS = 5
 
 # HTML element names that are no template places even in capitals.
 HTML_NAMES = "A ABBR B BIG BODY BR CENTER CODE DD DIV DL DT EM FONT FORM H1 H2 H3 H4 H5 H6 HEAD HR HTML I IMG INPUT LI LINK META OL OPTION P PRE S SCRIPT SELECT SMALL SPAN STRONG STYLE SUB SUP TABLE TBODY TD TH THEAD TITLE TR TT U UL".split()
@@ -170,6 +172,9 @@ def is_filler(text: str, common: Recurrent | None) -> bool:
     if len(signs) >= 4 and len(set(signs.lower())) == 1:
         return True
     low = text.lower()
+    tokens = low.split()
+    if len(tokens) >= REPEATED_TOKENS and len({t.strip(".,;:!?") for t in tokens}) == 1:
+        return True
     if any(stem in low for stem in _FILLER_STEMS) and _FILLER.search(text):
         rest = re.sub(r"[\W\d_]+", "", _FILLER.sub(" ", text))
         if len(rest) <= 0.1 * len(signs):
