@@ -175,7 +175,7 @@ def static_edges(rows: DataFrame, epsilon: float = 0.002, min_kept: int = 2, sou
     trim = some & (stop - start >= min_kept) & ((start > 0) | (stop < F.col("_n")))
     e = F.col("evaluated")
     return out.select(
-        EPISODE, "evaluated", F.when(e, ~some).alias("all_static"), F.when(e, trim).alias("should_trim"), F.when(e, start).cast("long").alias("trim_start"), F.when(e, stop).cast("long").alias("trim_end"),
+        EPISODE, "evaluated", (e & ~some).alias("all_static"), (e & trim).alias("should_trim"), F.when(e, start).cast("long").alias("trim_start"), F.when(e, stop).cast("long").alias("trim_end"),
         F.when(e, F.col("_still")).alias("static_rows"), (e & some & ~trim).alias("passed"),
     )
 

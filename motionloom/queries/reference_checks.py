@@ -177,7 +177,7 @@ SELECT episode_index, ev AS evaluated, CASE WHEN ev THEN b END AS static_transit
     "check_static_edges": f"""WITH {TRAJECTORY}, {_STEPS},
 a AS (SELECT episode_index, count(*) AS n, bool_and({_all_ok("action")}) AS ev, min(pos - 1) FILTER (WHERE ma >= 0.002) AS a, max(pos + 1) FILTER (WHERE ma >= 0.002) AS b, count(*) FILTER (WHERE ma < 0.002) AS still FROM s GROUP BY episode_index),
 v AS (SELECT *, coalesce(a, 0) AS st, coalesce(b, n) AS sp, a IS NOT NULL AS moves FROM a), t AS (SELECT *, moves AND sp - st >= 2 AND (st > 0 OR sp < n) AS trim FROM v)
-SELECT episode_index, ev AS evaluated, CASE WHEN ev THEN NOT moves END AS all_static, CASE WHEN ev THEN trim END AS should_trim, CASE WHEN ev THEN st END AS trim_start, CASE WHEN ev THEN sp END AS trim_end, CASE WHEN ev THEN still END AS static_rows, ev AND moves AND NOT trim AS passed FROM t""",
+SELECT episode_index, ev AS evaluated, ev AND NOT moves AS all_static, ev AND trim AS should_trim, CASE WHEN ev THEN st END AS trim_start, CASE WHEN ev THEN sp END AS trim_end, CASE WHEN ev THEN still END AS static_rows, ev AND moves AND NOT trim AS passed FROM t""",
     "check_gripper": _gripper_sql("state[8] >= 0.0 - 1e-6 AND state[8] <= 1.0 + 1e-6"),
     "check_gripper_binary": _gripper_sql("abs(state[8] - 0.0) <= 1e-6 OR abs(state[8] - 1.0) <= 1e-6"),
     "check_alias": f"""WITH {TRAJECTORY}, a AS (SELECT episode_index, count(*) FILTER (WHERE len(list_filter(list_zip(state[1:2], action[1:2]), lambda z: NOT coalesce((isnan(z[1]) AND isnan(z[2])) OR abs(z[1] - z[2]) <= 1e-8 + 1e-5 * abs(z[2]), false))) > 0) AS mismatching_rows FROM tr GROUP BY episode_index)
