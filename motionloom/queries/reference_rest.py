@@ -10,6 +10,7 @@ from motionloom.operators import alignment, checks, language, review, statistics
 from motionloom.operators.trajectory import own
 from motionloom.plans import policy as pol
 from motionloom.queries.reference_checks import TRAJECTORY, rounded, rows_of, with_double_counts
+from motionloom.queries.reference_rest_sql import SQL as _SQL
 from motionloom.sources.tables import table
 
 EPISODE = "episode_index"
@@ -176,4 +177,5 @@ QUERIES = {
     "review_episodes": review_query, "duplicate_episodes": lambda s, d: review.duplicates(_rows(s, d)), "policy_decisions": lambda s, d: pol.decisions(_found(s, d), POLICY), "policy_verdicts": lambda s, d: pol.verdicts(_found(s, d), POLICY),
     "feature_mapping": features, "missing_episodes": missing_episodes, "task_table": lambda s, d: language.task_table_check(table(s, d, "tasks")),
 }
-SQL: dict[str, str] = {}
+COUNTS = {n: ("right_id",) for n in ("align_exact", "align_backward", "align_nearest")}
+QUERIES, SQL = with_double_counts(QUERIES, _SQL, COUNTS)
