@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from motionloom.functions.vectors import INF, all_finite, close, difference, is_finite, largest, outside, over
+from motionloom.functions.vectors import INF, all_finite, close, difference, is_finite, largest, outside
 from motionloom.operators.trajectory import before, own
 
 EPISODE = "episode_index"
@@ -88,25 +88,36 @@ def length_check(rows: DataFrame, min_frames: int = 1, max_frames: int | None =
     return out.withColumn("passed", F.coalesce(passed, F.lit(False))).drop("_fps")
 
 
-def with_derivative(rows: DataFrame, order: int, source: str = "state", period: float | None = None) -> DataFrame:
-    """Add ``_d``, the divided difference of an order at midpoint times (null in the first rows)."""
-    out = rows.withColumn("_d", F.col(source)).withColumn("_m", F.col("t"))
+def with_derivative(rows: DataFrame, order: int, source: str = "state", period: float | None = None, width: int = 8) -> DataFrame:
+    """Add ``_c0`` to ``_c{width-1}``: divided differences of an order at midpoint times, null in the first rows.
+
+    Components are plain columns, so the whole chain stays in generated code.
+    """
+    comps = [f"_c{i}" for i in range(width)]
+    out = rows.withColumns({c: F.get(source, F.lit(i)) for i, c in enumerate(comps)}).withColumn("_m", F.col("t"))
     for level in range(order):
-        step = F.col("_m") - before("_m")
-        d = over(difference(F.col("_d"), before("_d"), period if level == 0 else None), step)
-        out = out.withColumn("_d2", d).withColumn("_m2", (F.col("_m") + before("_m")) / 2).drop("_d", "_m").withColumnsRenamed({"_d2": "_d", "_m2": "_m"})
+        out = out.withColumns({f"_p{c}": before(c) for c in (*comps, "_m")})
+        step = F.col("_m") - F.col("_p_m")
+        circle = period if level == 0 else None
+        delta = lambda c: F.col(c) - F.col(f"_p{c}") if circle is None else F.pmod(F.col(c) - F.col(f"_p{c}") + circle / 2, F.lit(circle)) - circle / 2  # noqa: E731, B023
+        out = out.withColumns({**{c: F.try_divide(delta(c), step) for c in comps}, "_m": (F.col("_m") + F.col("_p_m")) / 2})
+        out = out.drop(*[f"_p{c}" for c in (*comps, "_m")])
     return out
 
 
+def _peak(width: int) -> Column:
+    return F.greatest(*[F.abs(F.col(f"_c{i}")) for i in range(width)]) if width > 1 else F.abs(F.col("_c0"))
+
+
 def _usable(source: str) -> list[Column]:
     return [F.count(F.lit(1)).alias("n_rows"), _every(is_finite(F.col("t"))).alias("_t"), _every(F.col("_dt").isNull() | (F.col("_dt") > 0)).alias("_up"), _every(all_finite(F.col(source))).alias("_ok")]
 
 
-def derivative_check(rows: DataFrame, order: int, threshold: float | None = None, source: str = "state", period: float | None = None) -> DataFrame:
+def derivative_check(rows: DataFrame, order: int, threshold: float | None = None, source: str = "state", period: float | None = None, width: int = 8) -> DataFrame:
     """Largest derivative and intervals beyond the threshold (Q5): velocity, acceleration, jerk are orders 1, 2, 3."""
     if order not in (1, 2, 3) or (threshold is not None and not 0 < threshold < INF):
         raise ValueError("order is 1, 2 or 3 and a threshold positive")
-    r = with_derivative(rows.withColumn("_dt", F.col("t") - before("t")), order, source, period).withColumn("_peak", largest(F.col("_d")))
+    r = with_derivative(rows.withColumn("_dt", F.col("t") - before("t")), order, source, period, width).withColumn("_peak", _peak(width))
     beyond = _n(F.col("_peak") > threshold) if threshold is not None else F.sum(F.lit(0))
     out = own(r).groupBy(EPISODE).agg(*_usable(source), F.max("_peak").alias("_max"), beyond.alias("_beyond"))
     evaluated = (F.col("n_rows") > order) & F.col("_t") & F.col("_up") & F.col("_ok") & is_finite(F.col("_max"))
@@ -117,8 +128,7 @@ def derivative_check(rows: DataFrame, order: int, threshold: float | None = None
 
 def zscore_check(rows: DataFrame, order: int = 0, threshold: float = 3.0, source: str = "state", width: int = 8, period: float | None = None) -> DataFrame:
     """Within-episode, per-component population z-scores of values (order 0, Q7) or derivatives (1, 2, Q6)."""
-    r = with_derivative(rows.withColumn("_dt", F.col("t") - before("t")), order, source, period)
-    r = own(r).select(EPISODE, "t", "_dt", source, *[F.get("_d", F.lit(i)).alias(f"_c{i}") for i in range(width)])
+    r = own(with_derivative(rows.withColumn("_dt", F.col("t") - before("t")), order, source, period, width))
     comps = [f"_c{i}" for i in range(width)]
     stats = r.groupBy(EPISODE).agg(*_usable(source), *[f(c).alias(f"{n}{c}") for c in comps for n, f in (("m", F.avg), ("s", F.stddev_pop), ("a", lambda c: F.max(F.abs(F.col(c)))))])
     least = lambda c: F.lit(RESIDUE) * F.greatest(F.lit(1.0), F.col(f"a{c}")) if order else F.lit(0.0)
