@@ -166,8 +166,8 @@ def has_place(text: str) -> bool:
     return any(sign in text for sign in _PLACE_SIGNS) and PLACE.search(text) is not None
 
 
-def is_filler(text: str, common: Recurrent | None) -> bool:
-    """Nothing but filler phrases, one repeated sign, or mostly words that hardly occur elsewhere."""
+def is_filler(text: str) -> bool:
+    """Nothing but stock filler phrases, or one sign or token over and over."""
     signs = re.sub(r"\s", "", text)
     if len(signs) >= 4 and len(set(signs.lower())) == 1:
         return True
@@ -177,15 +177,18 @@ def is_filler(text: str, common: Recurrent | None) -> bool:
         return True
     if any(stem in low for stem in _FILLER_STEMS) and _FILLER.search(text):
         rest = re.sub(r"[\W\d_]+", "", _FILLER.sub(" ", text))
-        if len(rest) <= 0.1 * len(signs):
-            return True
+        return len(rest) <= 0.1 * len(signs)
+    return False
+
+
+def is_gibberish(text: str, common: Recurrent | None) -> bool:
+    """Mostly words that hardly occur in other texts."""
     if common is None:
         return False
     words = counted_words(text)
-    if len(words) < LEAST_WORDS or sum(map(len, words)) < 0.7 * len(signs):
+    if len(words) < LEAST_WORDS or sum(map(len, words)) < 0.7 * len(re.sub(r"\s", "", text)):
         return False
-    rare = sum(w not in common for w in words)
-    return rare >= RARE_WORDS * len(words)
+    return sum(w not in common for w in words) >= RARE_WORDS * len(words)
 
 
 def judge(text: str | None, host: str | None, lines: Recurrent | None = None, words: Recurrent | None = None) -> tuple[str | None, str]:
@@ -197,7 +200,7 @@ def judge(text: str | None, host: str | None, lines: Recurrent | None = None, wo
     left = []
     for line in text.split("\n"):
         key = short_line(line)
-        if key is None or lines is None or f"{host}\x00{key}" not in lines or evidence(line) or has_place(line) or is_filler(line, None):
+        if key is None or lines is None or f"{host}\x00{key}" not in lines or evidence(line) or has_place(line) or is_filler(line):
             left.append(line)
     residual = "\n".join(left).strip()
     if not residual:
@@ -205,15 +208,15 @@ def judge(text: str | None, host: str | None, lines: Recurrent | None = None, wo
     parts = sentences(residual)
     if has_place(residual) and any(PLACE.search(s) and not ABOUT_PLACE.search(PLACE.sub(" ", s)) for s in parts):
         return "placeholder", residual
-    if is_filler(residual, words):
+    if is_filler(residual):
         return "filler", residual
     tells = [evidence(s) for s in parts]
     found = next((e for e in tells if e), None)
     if found is None:
-        return None, residual
+        return ("filler" if is_gibberish(residual, words) else None), residual
     told = sum(len(s) for s, e in zip(parts, tells) if e)
     other = sum(len(s) for s, e in zip(parts, tells) if not e and not _TAIL.match(s))
-    return (found if other <= max(60, told) else None), residual
+    return (found if other <= max(60, told) else None), residual  # a text with a message in words is no gibberish
 
 
 COUNT_SCHEMA = "kind string, bucket int, n long"
