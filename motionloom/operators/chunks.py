@@ -36,8 +36,7 @@ def with_halo(rows: DataFrame, order: str, halo: int, width: int = CHUNK_ROWS) -
     own = chunk_of(o, width)
     if halo <= 0:
         return rows.withColumn("chunk", own).withColumn("is_halo", F.lit(False))
-    within = o - own * F.lit(width)
-    chunks = F.when(within < halo, F.array(own, own - 1)).when(within >= width - halo, F.array(own, own + 1)).otherwise(F.array(own))
+    chunks = F.sequence(chunk_of(o - F.lit(halo), width), chunk_of(o + F.lit(halo), width))
     return rows.withColumn("_own", own).withColumn("chunk", F.explode(chunks)).withColumn("is_halo", F.col("chunk") != F.col("_own")).drop("_own")
 
 
