@@ -52,9 +52,9 @@ def main(argv: list[str] | None = None) -> int:
             plan(trajectory(f, e, width=a.width), config).orderBy("episode_index").show(1000, False)
             return 0
         planned, kept = clean(f, e, None, config)
-        frames, episodes = build_dataset(kept, d.tasks)
+        frames = build_dataset(kept, d.tasks)
         info = {k: v for k, v in d.info.items() if k not in ("codebase_version", "features")}
-        publish(a.output, frames, episodes, d.tasks, info, {"plan": planned.groupBy("keep").count().toPandas().to_dict("records")})
+        publish(a.output, frames, d.tasks, info, {"plan": planned.groupBy("keep").count().toPandas().to_dict("records")})
     except (ValueError, OSError) as error:
         print(error, file=sys.stderr)
         return 1

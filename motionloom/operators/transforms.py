@@ -17,18 +17,22 @@ from motionloom.operators.trajectory import before, in_order, own
 EPISODE = "episode_index"
 
 
-def with_carried(rows: DataFrame, value: Column, name: str, forward: bool = True) -> DataFrame:
-    """The last (or, backward, the next) non-null ``value`` of the episode at each row, itself included."""
+def with_all_carried(rows: DataFrame, values: dict[str, Column], forward: bool = True) -> DataFrame:
+    """The last (or, backward, the next) non-null value of the episode at each row, itself included, for many values."""
     w = in_order().rowsBetween(Window.unboundedPreceding, 0) if forward else in_order().rowsBetween(0, Window.unboundedFollowing)
-    pick = F.last if forward else F.first
-    rows = rows.withColumn("_v", value)
-    edge = rows.where(F.col("_v").isNotNull()).groupBy(EPISODE, "chunk").agg((F.max_by if forward else F.min_by)("_v", "global_index").alias("_edge"))
-    chunks = rows.select(EPISODE, "chunk").distinct().join(edge, [EPISODE, "chunk"], "left")
+    pick, best = (F.last, F.max_by) if forward else (F.first, F.min_by)
+    rows = rows.withColumns({f"_v{n}": v for n, v in values.items()})
+    edge = rows.groupBy(EPISODE, "chunk").agg(*[best(f"_v{n}", F.when(F.col(f"_v{n}").isNotNull(), F.col("global_index"))).alias(f"_e{n}") for n in values])
     by = Window.partitionBy(EPISODE).orderBy("chunk")
     beyond = by.rowsBetween(Window.unboundedPreceding, -1) if forward else by.rowsBetween(1, Window.unboundedFollowing)
-    carry = chunks.select(EPISODE, "chunk", pick("_edge", True).over(beyond).alias("_carry"))
-    rows = rows.withColumn(name, pick("_v", True).over(w)).join(carry, [EPISODE, "chunk"], "left")
-    return rows.withColumn(name, F.coalesce(name, "_carry")).drop("_v", "_carry")
+    carry = edge.select(EPISODE, "chunk", *[pick(f"_e{n}", True).over(beyond).alias(f"_c{n}") for n in values])
+    rows = rows.withColumns({n: pick(f"_v{n}", True).over(w) for n in values}).join(carry, [EPISODE, "chunk"], "left")
+    return rows.withColumns({n: F.coalesce(n, f"_c{n}") for n in values}).drop(*[f"_{k}{n}" for k in "vc" for n in values])
+
+
+def with_carried(rows: DataFrame, value: Column, name: str, forward: bool = True) -> DataFrame:
+    """:func:`with_all_carried` for one value."""
+    return with_all_carried(rows, {name: value}, forward)
 
 
 def renumbered(rows: DataFrame, name: str = "new_index") -> DataFrame:
@@ -87,14 +91,22 @@ def interpolated(rows: DataFrame, x: Column, by_time: bool = True) -> DataFrame:
 
     ``by_time`` interpolates at source times; the older form uses row positions and fills an empty episode with zero.
     """
+    return all_interpolated(rows, {"filled": x}, by_time)
+
+
+def all_interpolated(rows: DataFrame, components: dict[str, Column], by_time: bool = True) -> DataFrame:
+    """:func:`interpolated` for many components, each under its name, in one pass."""
     at = F.col("t") if by_time else F.col("pos").cast("double")
-    good = F.when(is_finite(x), F.struct(at.alias("t"), x.alias("x")))
-    out = with_carried(with_carried(rows, good, "_p"), good, "_n", forward=False)
-    p, n = F.col("_p"), F.col("_n")
-    between = p["x"] + (n["x"] - p["x"]) * F.try_divide(at - p["t"], n["t"] - p["t"])
+    good = {n: F.when(is_finite(x), F.struct(at.alias("t"), x.alias("x"))) for n, x in components.items()}
+    out = with_all_carried(rows, {f"_p{n}": g for n, g in good.items()})
+    out = with_all_carried(out, {f"_n{n}": g for n, g in good.items()}, forward=False)
     empty = F.lit(None).cast("double") if by_time else F.lit(0.0)
-    filled = F.when(is_finite(x), x).when(p.isNull() & n.isNull(), empty).when(p.isNull(), n["x"]).when(n.isNull(), p["x"]).otherwise(between)
-    return out.withColumn("filled", filled).drop("_p", "_n")
+    filled = {}
+    for n, x in components.items():
+        p, q = F.col(f"_p{n}"), F.col(f"_n{n}")
+        between = p["x"] + (q["x"] - p["x"]) * F.try_divide(at - p["t"], q["t"] - p["t"])
+        filled[n] = F.when(is_finite(x), x).when(p.isNull() & q.isNull(), empty).when(p.isNull(), q["x"]).when(q.isNull(), p["x"]).otherwise(between)
+    return out.withColumns(filled).drop(*[f"_{k}{n}" for k in "pn" for n in components])
 
 
 def forward_filled(rows: DataFrame, x: Column) -> DataFrame:

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from motionloom.operators import checks
 from motionloom.operators.trajectory import own, trajectory
-from motionloom.operators.transforms import EPISODE, interpolated, keep_mask, too_short
+from motionloom.operators.transforms import EPISODE, all_interpolated, keep_mask, too_short
 from motionloom.plans.policy import Policy, findings, verdicts
+from motionloom.session import checkpointed
 
 
 @dataclass(frozen=True)
@@ -53,19 +54,19 @@ def execute(rows: DataFrame, planned: DataFrame, config: CleanConfig) -> DataFra
     kept = keep_mask(rows, edges if config.trim_edges else None, drop_nonfinite=config.nonfinite == "drop").where("keep").drop("keep")
     kept = kept.join(planned.where("keep").select(EPISODE), EPISODE)
     if config.nonfinite == "interpolate":
-        for name in ("state", "action"):
-            parts = []
-            for i in range(config.width):
-                kept = interpolated(kept, F.get(F.col(name), F.lit(i))).withColumnRenamed("filled", f"_f{i}")
-                parts.append(F.col(f"_f{i}"))
-            kept = kept.withColumn(name, F.array(*parts)).drop(*[f"_f{i}" for i in range(config.width)])
+        names = {f"_f{name}{i}": F.get(F.col(name), F.lit(i)) for name in ("state", "action") for i in range(config.width)}
+        kept = all_interpolated(kept, names)
+        kept = kept.withColumns({name: F.array(*[F.col(f"_f{name}{i}") for i in range(config.width)]) for name in ("state", "action")}).drop(*names)
     return own(kept)
 
 
 def clean(frames: DataFrame, episodes: DataFrame, robots: DataFrame | None = None, config: CleanConfig = CleanConfig()) -> tuple[DataFrame, DataFrame]:
-    """Plan and cleaned rows of a source; a finding that aborts stops before any row is produced."""
-    rows = trajectory(frames, episodes, robots, width=config.width, halo=3)
-    planned = plan(rows, config)
+    """Plan and cleaned rows of a source; a finding that aborts stops before any row is produced.
+
+    Rows and plan are read by many steps, so both are checkpointed once in the shared folder.
+    """
+    rows = checkpointed(trajectory(frames, episodes, robots, width=config.width, halo=3))
+    planned = checkpointed(plan(rows, config))
     if stop := planned.where("abort").select(EPISODE).limit(5).collect():
         raise ValueError(f"the policy aborts on episodes {[r[0] for r in stop]}")
     return planned, execute(rows, planned, config)

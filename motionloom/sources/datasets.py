@@ -43,12 +43,12 @@ class Dataset:
         counted = self.frames.groupBy("episode_index").agg(F.count(F.lit(1)).alias("rows"), F.min("index").alias("first"), F.max("index").alias("last"))
         e = self.episodes.join(counted, "episode_index", "full")
         near = Window.partitionBy(F.floor(F.col("episode_index") / 4096)).orderBy("episode_index")
-        gap = F.lag("dataset_to_index").over(near) != F.col("dataset_from_index")
+        e = e.withColumn("_gap", F.lag("dataset_to_index").over(near) != F.col("dataset_from_index"))
         say = lambda test, text: F.when(F.coalesce(test, F.lit(False)), F.lit(text))
         wrong = F.array_compact(
             F.array(
                 say(F.col("rows").isNull(), "no rows"), say(F.col("length").isNull(), "not registered"), say(F.col("rows") != F.col("length"), "length differs"),
-                say((F.col("first") != F.col("dataset_from_index")) | (F.col("last") + 1 != F.col("dataset_to_index")), "range differs"), say(gap, "gap before"),
+                say((F.col("first") != F.col("dataset_from_index")) | (F.col("last") + 1 != F.col("dataset_to_index")), "range differs"), say(F.col("_gap"), "gap before"),
             )
         )
         return e.select("episode_index", F.array_join(wrong, "; ").alias("problems")).where(F.size(wrong) > 0)

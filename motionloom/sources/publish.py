@@ -18,8 +18,12 @@ from pyspark.sql import functions as F
 
 from motionloom.functions.vectors import all_finite
 from motionloom.operators.transforms import reindexed
+from motionloom.session import bounded_broadcast
 from motionloom.sources.datasets import Dataset, DatasetError, read_sharded
 
+#: Task tables up to this many rows are broadcast.
+MAX_TASKS = 100_000
+
 
 def plain_json(value: object) -> object:
     """Numbers that JSON lacks become null."""
@@ -50,27 +54,36 @@ def copy_verified(source: Path, target: Path) -> str:
     return d
 
 
-def build_dataset(kept: DataFrame, tasks: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Frames with rebuilt identity and their episode table, of trajectory rows to keep (K1-K4)."""
+def build_dataset(kept: DataFrame, tasks: DataFrame) -> DataFrame:
+    """Frames with rebuilt identity, of trajectory rows to keep (K1-K4).
+
+    A task index that does not stand for exactly one text becomes null.
+    """
     r = reindexed(kept)
-    texts = tasks.where(F.col("task").isNotNull()).groupBy("task_index").agg(F.count_distinct("task").alias("_n"), F.min("task").alias("task")).where(F.col("_n") == 1)
-    r = r.join(F.broadcast(texts.select("task_index", "task").limit(1_000_000)), "task_index", "left") if texts.limit(10_001).count() <= 10_000 else r.join(texts.select("task_index", "task"), "task_index", "left")
+    texts = tasks.where(F.col("task").isNotNull()).groupBy("task_index").agg(F.count_distinct("task").alias("_n")).where(F.col("_n") == 1)
+    r = r.join(bounded_broadcast(texts.select("task_index", F.lit(True).alias("_known")), MAX_TASKS), "task_index", "left").withColumn("task_index", F.when(F.col("_known"), F.col("task_index")))
     frames = r.select(F.col("new_global").alias("index"), F.col("new_episode").alias("episode_index"), F.col("new_index").alias("frame_index"), F.col("new_t").alias("timestamp"), "task_index", F.col("state").alias("observation.state"), "action", F.col("episode_index").alias("source_episode"), F.col("pos").alias("source_position"))
-    episodes = frames.groupBy("episode_index").agg(F.count(F.lit(1)).alias("length"), F.min("index").alias("dataset_from_index"), (F.max("index") + 1).alias("dataset_to_index"), F.min("source_episode").alias("source_episode"))
-    return frames, episodes
+    return frames
+
+
+def episode_table(frames: DataFrame) -> DataFrame:
+    """Length, offsets and source of each episode of written frames."""
+    return frames.groupBy("episode_index").agg(F.count(F.lit(1)).alias("length"), F.min("index").alias("dataset_from_index"), (F.max("index") + 1).alias("dataset_to_index"), F.min("source_episode").alias("source_episode"))
 
 
-def publish(target: str, frames: DataFrame, episodes: DataFrame, tasks: DataFrame, info: dict, reports: dict[str, object] | None = None, audit: Callable[[Dataset], list[str]] | None = None) -> Dataset:
+def publish(target: str, frames: DataFrame, tasks: DataFrame, info: dict, reports: dict[str, object] | None = None, audit: Callable[[Dataset], list[str]] | None = None) -> Dataset:
     """Write, read back, check, and rename into place; an existing target is refused."""
     spark, out = frames.sparkSession, Path(target)
     if out.exists():
         raise FileExistsError(target)
-    if frames.where(~all_finite(F.col("`observation.state`")) | ~all_finite(F.col("action"))).limit(1).count():
-        raise DatasetError("non-finite values are left")
     part = out.with_name(f".{out.name}.partial")
     shutil.rmtree(part, ignore_errors=True)
     frames.repartitionByRange("index").sortWithinPartitions("index").write.parquet(str(part / "data"))
-    episodes.write.parquet(str(part / "meta/episodes"))
+    written = spark.read.parquet(str(part / "data"))
+    if written.where(~all_finite(F.col("`observation.state`")) | ~all_finite(F.col("action"))).limit(1).count():
+        shutil.rmtree(part)
+        raise DatasetError("non-finite values are left")
+    episode_table(written).write.parquet(str(part / "meta/episodes"))
     tasks.write.parquet(str(part / "meta/tasks.parquet"))
     write_json(part / "meta/info.json", {"codebase_version": "v3.0", **info})
     for name, value in (reports or {}).items():
