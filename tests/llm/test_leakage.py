@@ -1,6 +1,6 @@
 import random
 
-from motionloom.llm.leakage import MASKS, SPAN, leaked_passages
+from motionloom.llm.leakage import LEAST_EQUAL, MASKS, SPAN, leaked_passages
 from motionloom.llm.words import plain_words
 
 DOC, ITEM = "doc_id long, text string, item_id string", "item_id long, item_text string, doc_id long"
@@ -45,6 +45,22 @@ def test_substitutions_are_tolerated(spark):
     assert passages(spark, [], [(7, item)]) == {} and passages(spark, [(1, doc)], []) == {}
 
 
+def test_every_tolerated_passage_is_found(spark):
+    r = random.Random(8)
+    items = [(i, " ".join(r.choices([f"w{k}" for k in range(40)], k=r.choice((12, 20, 40))))) for i in range(20)]
+    docs, n = [], 0
+    for i, text in items:
+        for spots in [r.sample(range(12), 3) for _ in range(12)] + [range(3, 40, 4), range(4, 40, 5)]:
+            words = text.split()
+            for k in [k for k in spots if k < len(words)]:
+                words[k] = "other"
+            docs.append((n, " ".join(words)))
+            n += 1
+    near = lambda a, b: any(sum(x == y for x, y in zip(a[i : i + SPAN], b[j : j + SPAN])) >= LEAST_EQUAL for i in range(len(a) - SPAN + 1) for j in range(len(b) - SPAN + 1))
+    want = {(d, i) for d, t in docs for i, u in items if near(t.split(), u.split())}
+    assert set(passages(spark, docs, items)) == want and len(want) >= len(docs)
+
+
 def test_words_ignore_form():
     assert plain_words("«Ünder» <i>the</i> tAbLe,\xa0﻿**NOT** &amp; Straße") == ["under", "the", "table", "not", "strasse"]
     assert plain_words(None) == [] and plain_words("... --") == []
