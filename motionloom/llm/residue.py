@@ -1,7 +1,9 @@
 """Template residue, filler and error-page text (problem 9).
 
-Pass 1 counts, over all distinct texts, the normalised lines by host and the words, in ``BUCKETS`` hash buckets of
-fixed number; lines and words above a share of the texts are the recurrent ones (two bitmaps of fixed size).
+Pass 1 counts, over all distinct texts, the words, and by host the normalised lines and the texts, under 64-bit hashes.
+A word is common in more than ``LEAST_COUNT`` texts; a line is recurrent in more than ``LEAST_COUNT - 1`` texts of its
+host and more than ``LINE_SHARE`` of them. So texts of other hosts and with other words change no verdict. The hashes
+of common words and recurrent lines go to the tasks as sorted arrays (eight bytes each).
 Pass 2 subtracts from each record the recurrent boilerplate lines of its host (short lines without closing
 punctuation) and judges what is left:
 
@@ -30,11 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from motionloom.llm.mixing import plain_source
+from motionloom.session import checkpointed
 
-BUCKETS = 1 << 22
 LEAST_COUNT = 3
-WORD_SHARE = 1e-4
-LINE_SHARE = 5e-4
+LINE_SHARE = 5e-5
+COUNTS_AT_ONCE = 1_000_000
 LINE_CHARS = 80
 RARE_WORDS = 0.5
 LEAST_WORDS = 3
@@ -112,17 +114,19 @@ def counted_words(text: str) -> list[str]:
 
 
 class Recurrent:
-    """Whether the bucket of a line or word is recurrent, remembered."""
+    """Whether a line or word is recurrent, told by its hash and remembered."""
 
-    def __init__(self, kind: str, flags: np.ndarray) -> None:
-        self.kind, self.flags, self.known = kind, flags, {}
+    def __init__(self, kind: str, hashes: np.ndarray) -> None:
+        self.kind, self.hashes, self.known = kind, hashes, {}
 
     def __contains__(self, text: str) -> bool:
         known = self.known.get(text)
         if known is None:
             if len(self.known) > 500_000:
                 self.known.clear()
-            known = self.known[text] = bool(self.flags[bucket(self.kind, text)])
+            h = hashed(self.kind, text)
+            at = int(self.hashes.searchsorted(h))
+            known = self.known[text] = at < len(self.hashes) and int(self.hashes[at]) == h
         return known
 
 
@@ -139,9 +143,10 @@ def short_line(line: str) -> str | None:
     return re.sub(r"\d+", "0", line.lower())
 
 
-def bucket(kind: str, text: str) -> int:
-    """Hash bucket of a counted thing."""
-    return xxhash.xxh64_intdigest(f"{kind}\x00{text}") % BUCKETS
+def hashed(kind: str, text: str) -> int:
+    """Signed 64-bit hash of a counted thing."""
+    h = xxhash.xxh64_intdigest(f"{kind}\x00{text}")
+    return h - (1 << 64) if h >> 63 else h
 
 
 def evidence(sentence: str) -> str | None:
@@ -182,17 +187,17 @@ def is_filler(text: str) -> bool:
 
 
 def is_gibberish(text: str, common: Recurrent | None) -> bool:
-    """Mostly words that hardly occur in other texts."""
+    """Mostly words that hardly occur in other texts, by their letters: made-up texts share their short words."""
     if common is None:
         return False
     words = counted_words(text)
     if len(words) < LEAST_WORDS or sum(map(len, words)) < 0.7 * len(re.sub(r"\s", "", text)):
         return False
-    return sum(w not in common for w in words) >= RARE_WORDS * len(words)
+    return sum(len(w) for w in words if w not in common) >= RARE_WORDS * sum(map(len, words))
 
 
 def judge(text: str | None, host: str | None, lines: Recurrent | None = None, words: Recurrent | None = None) -> tuple[str | None, str]:
-    """Verdict (null: keep) and residual of one record; ``lines`` and ``words`` flag the recurrent buckets."""
+    """Verdict (null: keep) and residual of one record; ``lines`` and ``words`` tell the recurrent ones."""
     if not text or not text.strip():
         return None, ""
     if any(ord(c) == 0xFEFF for c in text[:1]):
@@ -219,42 +224,40 @@ def judge(text: str | None, host: str | None, lines: Recurrent | None = None, wo
     return (found if other <= max(60, told) else None), residual  # a text with a message in words is no gibberish
 
 
-COUNT_SCHEMA = "kind string, bucket int, n long"
+COUNT_SCHEMA = "kind string, host long, key long, n long"
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words: Counter[int] = Counter()
-    lines: Counter[int] = Counter()
-    texts: Counter[str] = Counter()
-
-    def out() -> Iterator[pa.RecordBatch]:
-        for kind, counts in (("w", words), ("l", lines)):
-            if counts:
-                yield pa.RecordBatch.from_pydict({"kind": pa.array([kind] * len(counts)), "bucket": pa.array(list(counts.keys()), pa.int32()), "n": pa.array(list(counts.values()), pa.int64())})
-        if texts["n"]:
-            yield pa.RecordBatch.from_pydict({"kind": pa.array(["n"]), "bucket": pa.array([0], pa.int32()), "n": pa.array([texts["n"]], pa.int64())})
-
-    memo: dict[str, int] = {}
+    counts: Counter[tuple[str, int, int]] = Counter()
+
+    def out() -> pa.RecordBatch:
+        columns = list(zip(*counts)) or [(), (), ()]
+        return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), *[pa.array(c, pa.int64()) for c in (*columns[1:], list(counts.values()))]], names=["kind", "host", "key", "n"])
+
+    memo: dict[str, tuple[str, int, int]] = {}
     for b in batches:
         for text, hosts in zip(b.column("text").to_pylist(), b.column("hosts").to_pylist()):
-            texts["n"] += 1
             for w in set(counted_words(text)):
                 k = memo.get(w)
                 if k is None:
                     if len(memo) > 500_000:
                         memo.clear()
-                    k = memo[w] = bucket("w", w)
-                words[k] += 1
+                    k = memo[w] = ("w", 0, hashed("w", w))
+                counts[k] += 1
             keys = {k for k in map(short_line, text.split("\n")) if k}
             for host in hosts:
-                lines.update(bucket("l", f"{None if host == '' else host}\x00{k}") for k in keys)
-    yield from out()
+                name = None if host == "" else host
+                h = hashed("h", f"{name}")
+                counts["h", h, 0] += 1
+                counts.update(("l", h, hashed("l", f"{name}\x00{k}")) for k in keys)
+            if len(counts) >= COUNTS_AT_ONCE:
+                yield out()
+                counts.clear()
+    yield out()
 
 
-def _flags(counts: list[tuple[int, int]], least: float) -> np.ndarray:
-    out = np.zeros(BUCKETS, bool)
-    out[[b for b, n in counts if n > least]] = True
-    return np.packbits(out)
+def _sorted_hashes(keys: DataFrame) -> np.ndarray:
+    return np.sort(keys.toArrow().column("key").to_numpy())
 
 
 def residue(documents: DataFrame) -> DataFrame:
@@ -262,16 +265,15 @@ def residue(documents: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     docs = documents.select("doc_id", "text", plain_source(F.col("source")).alias("host"))
     distinct = docs.where(F.col("text").isNotNull() & (F.trim("text") != "")).groupBy("text").agg(F.collect_set(F.coalesce("host", F.lit(""))).alias("hosts"))
-    counts = distinct.mapInArrow(_count, COUNT_SCHEMA).groupBy("kind", "bucket").agg(F.sum("n").alias("n"))
-    counts = counts.where(F.col("n") > LEAST_COUNT - 1).where((F.col("kind") != "l") | (F.col("n") >= LEAST_COUNT))
-    total = distinct.count()
-    least = {"w": max(LEAST_COUNT, WORD_SHARE * total), "l": max(LEAST_COUNT - 1, LINE_SHARE * total / 10)}
-    kept = counts.where(((F.col("kind") == "w") & (F.col("n") > least["w"])) | ((F.col("kind") == "l") & (F.col("n") > least["l"]))).select("kind", "bucket", "n").collect()  # at most 2 * BUCKETS, and fewer than 1 / share of them
-    flags = {k: _flags([(r["bucket"], r["n"]) for r in kept if r["kind"] == k], least[k]) for k in ("w", "l")}
-    shared = spark.sparkContext.broadcast(flags)  # two bitmaps of BUCKETS bits
+    counts = distinct.mapInArrow(_count, COUNT_SCHEMA).groupBy("kind", "host", "key").agg(F.sum("n").alias("n"))
+    counts = checkpointed(counts.where((F.col("kind") == "h") | (F.col("n") >= LEAST_COUNT)))
+    common = counts.where((F.col("kind") == "w") & (F.col("n") > LEAST_COUNT)).select("key")
+    hosts = counts.where(F.col("kind") == "h").select("host", F.col("n").alias("texts"))
+    lines = counts.where(F.col("kind") == "l").join(hosts, "host").where(F.col("n") > F.lit(LINE_SHARE) * F.col("texts")).select("key")
+    shared = spark.sparkContext.broadcast({"w": _sorted_hashes(common), "l": _sorted_hashes(lines)})  # eight bytes for each common word and recurrent line
 
     def verdicts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, lines = (Recurrent(k, np.unpackbits(shared.value[k])) for k in ("w", "l"))
+        words, lines = (Recurrent(k, shared.value[k]) for k in ("w", "l"))
         for b in batches:
             v = [judge(t, h, lines, words)[0] for t, h in zip(b.column("text").to_pylist(), b.column("host").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(v, pa.string())], names=["doc_id", "verdict"])

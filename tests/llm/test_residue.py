@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from motionloom.llm.residue import judge, residue
 
@@ -36,3 +37,14 @@ def test_corpus_boilerplate_and_gibberish(spark):
     assert {k for k, v in got.items() if v} == {100, 101} and got[100] == "script" and got[101] == "filler"
     assert residue(d).count() == len(docs)
     assert residue(d.where("false")).count() == 0
+
+
+def test_unrelated_texts_change_no_verdict(spark):
+    menu = "Overview of all takes | Crews | Sites | About us | Imprint | Contact"
+    docs = [(i, f"{menu}\nForbidden (403)" if i == 0 else f"{menu}\nvelda korum besht onari luthe {i}", "small", 0) for i in range(3)]
+    docs += [(i, f"velda korum besht onari luthe {i}", f"h{i}", 0) for i in range(3, 6)]
+    d = spark.createDataFrame(docs, "doc_id long, text string, source string, verdict int")
+    other = spark.range(100, 70_100, 1, 8).select(F.col("id").alias("doc_id"), F.concat(F.lit("The crate was moved "), "id").alias("text"), F.lit("large").alias("source"), F.lit(0).alias("verdict"))
+    alone = {r[0]: r[1] for r in residue(d).collect()}
+    among = {r[0]: r[1] for r in residue(d.unionByName(other)).where("doc_id < 100").collect()}
+    assert alone == among == {0: "error", **dict.fromkeys(range(1, 6))}
