@@ -1,4 +1,4 @@
-"""Dataset, feature and episode statistics, robust thresholds, chunk padding."""
+"""Dataset, feature and episode statistics, robust thresholds, chunk padding."""
 
 from __future__ import annotations
 

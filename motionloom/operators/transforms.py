@@ -1,4 +1,4 @@
-"""Edits on trajectory rows: selections, numeric repairs, padding, reindexing.
+"""Edits on trajectory rows: selections, numeric repairs, padding, reindexing.
 
 All positions are source positions in the episode; selections of several kinds meet in one keep mask, numeric edits
 run on the rows that are kept, and identity columns are rebuilt last. Rows come from ``trajectory`` with ``halo=0``
@@ -8,10 +8,12 @@ per ``(episode_index, chunk)`` and take what they need from the other chunks thr
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from motionloom.functions.vectors import all_finite, clipped, is_finite, largest
+from motionloom.functions.vectors import all_finite, binarized, clipped, is_finite, largest
 from motionloom.operators.trajectory import before, in_order, own
 
 EPISODE = "episode_index"
@@ -81,6 +83,50 @@ def keep_mask(rows: DataFrame, edges: DataFrame | None = None, epsilon: float |
     return own(rows.withColumn("keep", keep)).drop("_still", "_listed", "should_trim", "trim_start", "trim_end")
 
 
+def static_trim(rows: DataFrame, mode: str = "trim_edges", threshold: float = 1e-4, rotations: tuple[int, ...] = (), rotation_degrees: float | None = None, min_kept: int = 2, source: str = "action", width: int = 8) -> DataFrame:
+    """Add ``keep`` by the older trim (X18): still edges, or with ``drop_static_frames`` every still row but the first.
+
+    A row is still if no component moved by the threshold since the row before; the ``rotations`` components have a
+    threshold of their own in degrees, or none. An episode of at most ``min_kept`` rows, or of which fewer would stay,
+    is left whole. Rows need a halo of one row.
+    """
+    if mode not in ("trim_edges", "drop_static_frames"):
+        raise ValueError(f"unknown mode {mode!r}")
+    move = lambda cols: F.coalesce(F.greatest(F.lit(0.0), *[F.abs(F.get(source, F.lit(i)) - F.get(before(source), F.lit(i))) for i in cols]), F.lit(0.0)) if cols else F.lit(0.0)
+    still = move([i for i in range(width) if i not in rotations]) < threshold
+    if rotation_degrees is not None:
+        still = still & (move([i for i in rotations if i < width]) < math.radians(rotation_degrees))
+    r = own(rows.withColumn("_still", still))
+    if mode == "trim_edges":
+        e = r.groupBy(EPISODE).agg(F.min(F.when(~F.col("_still"), F.col("pos"))).alias("_a"), F.max(F.when(~F.col("_still"), F.col("pos"))).alias("_b"))
+        r = r.join(e, EPISODE).withColumn("keep", F.coalesce(F.col("pos").between(F.col("_a"), F.col("_b")), F.lit(False))).drop("_a", "_b")
+    else:
+        r = r.withColumn("keep", ~F.col("_still") | (F.col("pos") == 0))
+    whole = too_short(r, min_kept).select(EPISODE, (F.col("rejected") | (F.col("n_rows") <= min_kept)).alias("_whole"))
+    return r.join(whole, EPISODE).withColumn("keep", F.col("keep") | F.col("_whole")).drop("_whole", "_still")
+
+
+def gripper_binarized(rows: DataFrame, source: str, targets: dict[str, tuple[int, int]], threshold: float = 0.5, thresholds: dict[str, float] | None = None, low: float = 0.0, skip_binary: bool = True) -> DataFrame:
+    """Add ``binarized``: the named ranges of components set to one above their threshold, else ``low``.
+
+    ``thresholds`` has those of single targets. A target that holds only the two values in all of an episode stays.
+    """
+    covered = [i for a, b in targets.values() for i in range(a, b)]
+    if len(covered) != len(set(covered)):
+        raise ValueError("targets overlap")
+    r = own(rows)
+    part = lambda a, b: F.slice(F.col(source), a + 1, b - a)
+    binary = {n: F.every(F.forall(part(*at), lambda x: (x == low) | (x == 1.0))).alias(f"_b{k}") for k, (n, at) in enumerate(targets.items())}
+    if skip_binary and binary:
+        r = r.join(r.groupBy(EPISODE).agg(*binary.values()), EPISODE)
+    out = F.col(source)
+    for k, (n, (a, b)) in enumerate(targets.items()):
+        at = (thresholds or {}).get(n, threshold)
+        new = F.transform(out, lambda x, i: F.when((i >= a) & (i < b), F.when(F.isnan(x), F.lit(low)).otherwise(binarized(x, at, low, inclusive=False))).otherwise(x))  # built at once, so a, b and at hold
+        out = F.when(F.col(f"_b{k}"), out).otherwise(new) if skip_binary else new
+    return r.withColumn("binarized", out).drop(*[f"_b{k}" for k in range(len(targets))])
+
+
 def too_short(masked: DataFrame, minimum: int) -> DataFrame:
     """Episodes that keep fewer rows than the minimum."""
     return masked.groupBy(EPISODE).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("keep").cast("long")).alias("kept")).withColumn("rejected", F.col("kept") < minimum)

@@ -1,4 +1,4 @@
-"""Named features over vector columns, compiled to Column expressions (P3-P10, P15-P21, section 1.3).
+"""Named features over vector columns, compiled to Column expressions (P3-P10, P15-P17, P19, section 1.3).
 
 A layout lists, for state and action, named features as ordered slices of stored vectors. It is resolved once on the
 driver against the declared widths; rows never pass through Python.

@@ -1,4 +1,4 @@
-"""Readers of dataset folders: shared-shard layout and one-file-per-episode layout.
+"""Readers of dataset folders: shared-shard layout and one-file-per-episode layout.
 
 Both give the same bundle of DataFrames; nothing is converted on disk. Small metadata files are read by the driver.
 """

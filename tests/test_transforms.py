@@ -82,3 +82,29 @@ def test_alignment(spark):
     with pytest.raises(ValueError):
         aligned(line, stream, "e", "t", "v", "nearest")
     assert {r["e"]: r["usable"] for r in increasing(line.unionByName(spark.createDataFrame([(2, 0.0)], "e long, t double")), "e", "t").collect()} == {1: True, 2: False}
+
+
+@pytest.mark.parametrize("chunk", [3, 1 << 16])
+def test_older_static_trim(frames, episodes, chunk):
+    def kept(states, n=1, **more):
+        r = trajectory(frames(states), episodes(1), width=2, halo=1, chunk_rows=chunk)
+        return sorted(a["pos"] for a in transforms.static_trim(r, threshold=0.5, width=2, **more).where("keep").collect())
+
+    s = [[0.0, 0.0]] * 3 + [[1.0, 0.0], [1.0, 0.0], [2.0, 0.0]] + [[2.0, 0.1]] * 2
+    assert kept(s) == [3, 4, 5] and kept(s, mode="drop_static_frames") == [0, 3, 5]
+    assert kept(s, min_kept=4) == list(range(8)) == kept(s, mode="drop_static_frames", min_kept=4)
+    assert kept([[1.0, 1.0]] * 5, mode="drop_static_frames") == list(range(5)) == kept([[1.0, 1.0]] * 5)
+    assert kept(s, rotations=(1,), rotation_degrees=2.0) == [3, 4, 5, 6] and kept(s, rotations=(0,)) == list(range(8))
+    assert kept([[0.0, 0.0], [float("nan"), 0.0], [1.0, 0.0], [1.0, 0.0]]) == [1, 2]
+
+
+def test_older_gripper_binarization(frames, episodes):
+    def got(states, **more):
+        r = trajectory(frames(states), episodes(1), width=2, halo=0)
+        return [a["binarized"] for a in transforms.gripper_binarized(r, "state", {"left": (0, 1), "right": (1, 2)}, **more).orderBy("pos").collect()]
+
+    s = [[0.5, 0.0], [0.75, 1.0], [float("nan"), 1.0]]
+    assert got(s, thresholds={"right": 2.0}) == [[0.0, 0.0], [1.0, 1.0], [0.0, 1.0]]
+    assert got(s, thresholds={"right": 2.0, "left": 0.25}, skip_binary=False) == [[1.0, 0.0], [1.0, 0.0], [0.0, 0.0]]
+    with pytest.raises(ValueError):
+        transforms.gripper_binarized(None, "state", {"a": (0, 2), "b": (1, 2)})
