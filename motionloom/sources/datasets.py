@@ -13,6 +13,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+EPISODE_RANGE = 4096
 IDENTITY = ("index", "frame_index", "episode_index", "timestamp", "task_index")
 
 
@@ -42,8 +43,12 @@ class Dataset:
         """Episodes whose rows, range or place after the previous episode do not fit."""
         counted = self.frames.groupBy("episode_index").agg(F.count(F.lit(1)).alias("rows"), F.min("index").alias("first"), F.max("index").alias("last"))
         e = self.episodes.join(counted, "episode_index", "full")
-        near = Window.partitionBy(F.floor(F.col("episode_index") / 4096)).orderBy("episode_index")
-        e = e.withColumn("_gap", F.lag("dataset_to_index").over(near) != F.col("dataset_from_index"))
+        e = e.withColumn("_range", F.floor(F.col("episode_index") / EPISODE_RANGE))
+        ends = e.groupBy("_range").agg(F.max_by(F.struct("dataset_to_index"), "episode_index").alias("_end"))  # one row per EPISODE_RANGE episodes
+        ends = ends.select("_range", F.lag("_end").over(Window.orderBy("_range"))["dataset_to_index"].alias("_before"))
+        near = Window.partitionBy("_range").orderBy("episode_index")
+        e = e.join(ends, "_range", "left").withColumn("_previous", F.when(F.row_number().over(near) == 1, F.col("_before")).otherwise(F.lag("dataset_to_index").over(near)))
+        e = e.withColumn("_gap", F.col("_previous") != F.col("dataset_from_index"))
         say = lambda test, text: F.when(F.coalesce(test, F.lit(False)), F.lit(text))
         wrong = F.array_compact(
             F.array(

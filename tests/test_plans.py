@@ -7,7 +7,7 @@ from motionloom.operators import language, training, video
 from motionloom.plans import policy as pol
 from motionloom.plans.clean import CleanConfig, clean
 from motionloom.plans.features import LayoutError, parse_layout
-from motionloom.sources.datasets import DatasetError, fingerprint, inside, inspect, read_dataset, validate
+from motionloom.sources.datasets import Dataset, DatasetError, fingerprint, inside, inspect, read_dataset, validate
 from motionloom.sources.publish import build_dataset, publish
 from motionloom.streaming.audit import finite_counts, frame_stream
 
@@ -64,6 +64,15 @@ def test_clean_publish_and_read_back(spark, frames, episodes, tmp_path):
         inside(out, "../secret")
 
 
+def test_gap_between_ranges_of_episodes(spark):
+    starts = {4094: 0, 4095: 2, 4096: 4, 8191: 6, 12288: 9, 12289: 11}
+    e = spark.createDataFrame([(k, 2, v, v + 2) for k, v in starts.items()], "episode_index long, length long, dataset_from_index long, dataset_to_index long")
+    f = e.select("episode_index", F.explode(F.sequence("dataset_from_index", F.col("dataset_to_index") - 1)).alias("index"))
+    assert [tuple(r) for r in Dataset("", {}, f, e, None).problems().collect()] == [(12288, "gap before")]
+    moved = e.withColumn("dataset_from_index", F.when(F.col("episode_index") == 4096, F.lit(3)).otherwise(F.col("dataset_from_index")))
+    assert {r[0]: r[1] for r in Dataset("", {}, f, moved, None).problems().collect()} == {4096: "range differs; gap before", 12288: "gap before"}
+
+
 def test_interpolating_clean(frames, episodes):
     f = frames([[0.0, 0.0], [float("nan"), 0.0], [2.0, 0.0]])
     _, kept = clean(f, episodes(1), None, CleanConfig(width=2, nonfinite="interpolate", trim_edges=False))
