@@ -144,13 +144,29 @@ def read_dataset(spark: SparkSession, root: str) -> Dataset:
     raise DatasetError(f"unknown codebase_version {version!r}")
 
 
-def validate(spark: SparkSession, root: str) -> list[str]:
-    """All problems of a dataset folder at once."""
+def problem_table(spark: SparkSession, root: str) -> DataFrame:
+    """All problems of a dataset folder at once (S23): ``(episode_index, problem)``, without episode for the whole dataset's."""
+    schema = "episode_index long, problem string"
     try:
         d = read_dataset(spark, root)
     except (DatasetError, OSError, json.JSONDecodeError) as e:
-        return [str(e)]
-    out = [f"episode {r[0]}: {r[1]}" for r in d.problems().orderBy("episode_index").limit(1000).collect()]
+        return spark.createDataFrame([(None, str(e))], schema)
+    whole = spark.createDataFrame([(None, p) for p in _declared_problems(d)], schema)
+    return d.problems().select(F.col("episode_index").cast("long").alias("episode_index"), F.col("problems").alias("problem")).unionByName(whole)
+
+
+def validate(spark: SparkSession, root: str) -> list[str]:
+    """The lines of :func:`problem_table`, those of episodes first; every one of them goes to the driver."""
+    return [problem_line(*r) for r in problem_table(spark, root).orderBy(F.asc_nulls_last("episode_index")).collect()]
+
+
+def problem_line(episode: int | None, problem: str) -> str:
+    """How a problem is printed."""
+    return problem if episode is None else f"episode {episode}: {problem}"
+
+
+def _declared_problems(d: Dataset) -> list[str]:
+    out = []
     declared = d.info.get("features", {})
     for name, spec in declared.items():
         if spec.get("dtype") not in ("video",) and name not in d.frames.columns:

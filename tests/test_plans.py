@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from motionloom import cli
 from motionloom.functions.vision import image_measures, visual_checks
 from motionloom.operators import language, training, video
 from motionloom.plans import policy as pol
@@ -73,6 +74,32 @@ def test_gap_between_ranges_of_episodes(spark):
     assert {r[0]: r[1] for r in Dataset("", {}, f, moved, None).problems().collect()} == {4096: "range differs; gap before", 12288: "gap before"}
 
 
+def test_reports_are_whole(spark, frames, episodes, tmp_path, capsys, monkeypatch):
+    n = 1005
+    f = frames([[float(i), 0.0] for i in range(2 * n)]).withColumn("episode_index", F.floor(F.col("global_index") / 2))
+    d = str(tmp_path / "set")
+    tasks = spark.createDataFrame([(0, "lift")], "task_index long, task string")
+    _, kept = clean(f, episodes(*range(n)), None, CleanConfig(width=2, trim_edges=False))
+    publish(d, build_dataset(kept, tasks), tasks, {"fps": 10.0})
+    monkeypatch.setattr(cli, "EXCERPT_ROWS", 3)
+    out = str(tmp_path / "audit")
+    assert cli.main(["audit", d, "--width", "2", "--output", out]) == 0 and spark.read.parquet(out).count() == n
+    said = capsys.readouterr().out
+    assert "3 of 1005 rows printed" in said and said.count('"episode_index"') == 3
+    assert cli.main(["audit", d, "--width", "2", "--output", out]) == 1
+    capsys.readouterr()
+    assert cli.main(["check", d]) == 0 and "no problems" in capsys.readouterr().out
+    wrong = read_dataset(spark, d).episodes.withColumn("length", F.col("length") + 1).toPandas()
+    for p in (tmp_path / "set/meta/episodes").rglob("*.parquet"):
+        p.unlink()
+    wrong.to_parquet(tmp_path / "set/meta/episodes/wrong.parquet")
+    spark.catalog.clearCache()
+    assert len(validate(spark, d)) == n
+    assert cli.main(["check", d]) == 1
+    assert capsys.readouterr().out.count("length differs") == n
+    assert cli.main(["check", d, "--output", str(tmp_path / "problems")]) == 1 and spark.read.parquet(str(tmp_path / "problems")).count() == n
+
+
 def test_interpolating_clean(frames, episodes):
     f = frames([[0.0, 0.0], [float("nan"), 0.0], [2.0, 0.0]])
     _, kept = clean(f, episodes(1), None, CleanConfig(width=2, nonfinite="interpolate", trim_edges=False))
