@@ -1,8 +1,8 @@
 """Ordered work per entity without one task per entity.
 
 An entity (an episode, a sensor) may hold a third of all rows. Ordered operators therefore work on
-``(entity, chunk)`` where ``chunk`` is a fixed-width slice of the order key. A row near the edge of its
-slice is also sent to the neighbouring slice as a halo row, so each slice can be processed on its own.
+``(entity, chunk)`` where ``chunk`` is a fixed-width slice of the order key. The rows of the entity before and after
+a slice are also sent to it as halo rows, however far away their keys are, so each slice can be processed on its own.
 """
 
 from __future__ import annotations
@@ -11,10 +11,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from motionloom.session import bounded_broadcast
+
 CHUNK_ROWS = 1 << 16
+#: Above this many rows the entities with gaps and their far halo keys are joined by shuffle.
+MAX_FAR_ROWS = 10_000
 
 
 def chunk_of(order: Column, width: int = CHUNK_ROWS) -> Column:
@@ -30,14 +34,49 @@ def chunk_sizes(rows: DataFrame, entity: str, order: str, width: int = CHUNK_ROW
     )
 
 
-def with_halo(rows: DataFrame, order: str, halo: int, width: int = CHUNK_ROWS) -> DataFrame:
-    """Add ``chunk``; rows within ``halo`` of a slice's edge come again for the neighbouring slice with ``is_halo``."""
+def far_halo(rows: DataFrame, entity: str, order: str, halo: int, width: int = CHUNK_ROWS) -> DataFrame | None:
+    """``(entity, order, chunk)`` of halo rows whose keys are more than ``halo`` away from the slice; None without gaps.
+
+    A slice needs none if the keys next to its edges are all there, which one bit per key tells; only entities with a
+    gap at an edge are looked at row by row.
+    """
+    keys = rows.where(F.col(entity).isNotNull() & F.col(order).isNotNull()).select(entity, F.col(order).cast("long").alias("_o"), chunk_of(F.col(order), width).alias("chunk"))
+    at = F.col("_o") - F.col("chunk") * width
+    bit = lambda place: F.when(place.between(0, min(halo, 64) - 1), F.call_function("shiftleft", F.lit(1).cast("long"), place.cast("int")))
+    edges = keys.groupBy(entity, "chunk").agg(F.min(at).alias("_lo"), F.max(at).alias("_hi"), F.bit_or(bit(at)).alias("_head"), F.bit_or(bit(width - 1 - at)).alias("_tail"))
+    by = Window.partitionBy(entity).orderBy("chunk")
+    full = F.lit(-1 if halo >= 64 else (1 << halo) - 1) if halo <= 64 else F.lit(None).cast("long")
+    beside = {"before": (F.lag, -1, "_tail", F.col("_lo") >= width - halo), "after": (F.lead, 1, "_head", F.col("_hi") < halo)}
+    edges = edges.withColumns({f"_outer_{k}": F.coalesce(F.col(bits) == full, F.lit(False)) | (look("chunk").over(by).isNull() & all_near) for k, (look, _, bits, all_near) in beside.items()})
+    near = [look("chunk").over(by).isNull() | ((look("chunk").over(by) == F.col("chunk") + step) & look(f"_outer_{k}").over(by)) for k, (look, step, _, _) in beside.items()]
+    gaps = edges.withColumn("_near", near[0] & near[1]).where(~F.col("_near")).select(entity).distinct()
+    if gaps.isEmpty():
+        return None
+    k = keys.join(bounded_broadcast(gaps, MAX_FAR_ROWS), entity).distinct()
+    slices = Window.partitionBy(entity, "chunk")
+    k = k.withColumn("_first", F.row_number().over(slices.orderBy("_o"))).withColumn("_last", F.row_number().over(slices.orderBy(F.desc("_o"))))
+    ends = k.groupBy(entity, "chunk").agg(F.collect_list(F.when(F.col("_first") <= halo, F.col("_o"))).alias("_head"), F.collect_list(F.when(F.col("_last") <= halo, F.col("_o"))).alias("_tail"))
+    before = F.slice(F.sort_array(F.flatten(F.collect_list("_tail").over(by.rowsBetween(-halo, -1))), False), 1, halo)
+    after = F.slice(F.sort_array(F.flatten(F.collect_list("_head").over(by.rowsBetween(1, halo)))), 1, halo)
+    far = ends.select(entity, "chunk", F.concat(before, after).alias("_around")).select(entity, "chunk", F.explode("_around").alias(order))
+    return far.where(~F.col("chunk").between(chunk_of(F.col(order) - halo, width), chunk_of(F.col(order) + halo, width)))
+
+
+def with_halo(rows: DataFrame, order: str, halo: int, width: int = CHUNK_ROWS, entity: str = "episode_index") -> DataFrame:
+    """Add ``chunk``; the entity's ``halo`` rows before and after a slice come again for it with ``is_halo``.
+
+    Rows count once for each order key; a slice with fewer rows than ``halo`` passes those of the slices beyond it on.
+    """
     o = F.col(order)
     own = chunk_of(o, width)
     if halo <= 0:
         return rows.withColumn("chunk", own).withColumn("is_halo", F.lit(False))
     chunks = F.sequence(chunk_of(o - F.lit(halo), width), chunk_of(o + F.lit(halo), width))
-    return rows.withColumn("_own", own).withColumn("chunk", F.explode(chunks)).withColumn("is_halo", F.col("chunk") != F.col("_own")).drop("_own")
+    near = rows.withColumn("_own", own).withColumn("chunk", F.explode(chunks)).withColumn("is_halo", F.col("chunk") != F.col("_own")).drop("_own")
+    far = far_halo(rows, entity, order, halo, width)
+    if far is None:
+        return near
+    return near.unionByName(rows.join(bounded_broadcast(far, MAX_FAR_ROWS), [entity, order]).withColumn("is_halo", F.lit(True)))
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], min_rows: int = 20_000) -> Iterator[pa.Table]:

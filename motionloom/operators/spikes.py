@@ -393,7 +393,7 @@ def implausible_readings(
     named = chunks.where(F.col(source).isNotNull())
     joined = named.select(F.col(entity).cast("long").alias("entity"), "chunk", F.col(source).alias("source"), F.col(low).alias("low"), F.col(high).alias("high"))
     plain = rows.where(F.col(entity).isNotNull() & F.col(order).isNotNull()).select(F.col(entity).cast("long").alias("entity"), F.col(order).cast("long").alias("ord"), F.col(received).alias("rec"), *fields)
-    halo = with_halo(plain, "ord", HALO, chunk_rows)
+    halo = with_halo(plain, "ord", HALO, chunk_rows, "entity")
 
     def sliced(side: DataFrame) -> DataFrame:
         return halo.join(side, ["entity", "chunk"]).repartition("entity", "chunk").sortWithinPartitions("entity", "chunk", "ord", "rec").drop("rec")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from motionloom.functions.vectors import binarized, changed_values, clipped, close, difference, feature
 from motionloom.operators import checks
 from motionloom.operators.review import duplicates, review
-from motionloom.operators.trajectory import trajectory
+from motionloom.operators.trajectory import in_order, own, trajectory
 
 
 def view(frames, episodes, states, halo=3, chunk=1 << 16, actions=None, **more):
@@ -104,3 +104,15 @@ def test_duplicates(frames, episodes):
     f = frames(s, episode=1).unionByName(frames(s, episode=2, first=100)).unionByName(frames(s[::-1], episode=3, first=200)).unionByName(frames([None, s[0]], episode=4, first=300)).unionByName(frames([None, s[0]], episode=5, first=400))
     got = [tuple(r) for r in duplicates(trajectory(f, episodes(1, 2, 3, 4, 5), width=2)).collect()]
     assert got == [(2, 1)]
+
+
+def test_rows_across_gaps_of_the_key(frames, episodes):
+    width = 1 << 16
+    at = [0, 1, 2, width + 50, 4 * width + 7, 4 * width + 8, 9 * width]
+    f = frames([[float(k), 0.0] for k in range(len(at))]).withColumn("global_index", F.element_at(F.array(*[F.lit(a) for a in at]), (F.col("global_index") + 1).cast("int")).cast("long"))
+    for halo in (1, 2, 3):
+        r = trajectory(f, episodes(1), width=2, halo=halo)
+        r = r.withColumn("_p", F.lag("global_index", halo).over(in_order())).withColumn("_n", F.lead("global_index", halo).over(in_order()))
+        got = {a["global_index"]: (a["_p"], a["_n"]) for a in own(r).collect()}
+        assert got == {x: (at[k - halo] if k >= halo else None, at[k + halo] if k + halo < len(at) else None) for k, x in enumerate(at)}
+    assert "noncontiguous global indices" in str(checks.structure_check(trajectory(f.where(F.col("global_index").isin(0, 1, 2, width + 50)), episodes(1), width=2, halo=1), episodes(1)).collect())

@@ -54,3 +54,16 @@ def test_surroundings_is_the_median():
     got = surroundings(y, np.zeros(40, int))
     for i in range(4, 36):
         assert got[i] == np.median(y[i - 4 : i + 5])
+
+
+def test_keys_with_strides_change_nothing(spark, frames):
+    x = [[0.01 * (k % 7), 0.0] for k in range(120)]
+    x[60] = [3.0, 0.0]
+    x[90:110] = [[0.02, 0.0]] * 20
+    f = frames(x)
+    dense = flags(spark, f)
+    wide = f.withColumn("global_index", F.col("global_index") * 50)
+    chunks = wide.groupBy("episode_index", F.floor(F.col("global_index") / 32).alias("chunk")).agg(F.count(F.lit(1)).alias("n_rows"))
+    chunks = chunks.withColumns({"robot_id": F.lit("r1"), "joint_low": F.array(F.lit(-5.0), F.lit(-5.0)), "joint_high": F.array(F.lit(5.0), F.lit(5.0))})
+    got = [(r["field"], r["component"], r["reason"]) for r in implausible_readings(wide, chunks, 2, 1, chunk_rows=32).collect()]
+    assert sorted(got) == sorted((*k[1:], v) for k, v in dense.items()) and {"spike", "frozen"} <= set(dense.values())
