@@ -91,6 +91,12 @@ _TAIL = re.compile(
 )
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|(?<=[。！？])|\n+")
 
+#: Sentences longer than this are weighed by their clauses.
+CLAUSE_CHARS = 240
+_CLAUSE = re.compile(r"""[,;|{}\[\]]+\s*|:\s+|\s+[-–—]\s+""")
+#: Frames of a stack trace.
+_FRAME = re.compile(r"""(?i)\bFile \\?"[^"\n]{1,200}", line \d+(?:, in \S{1,80})?|\bat [\w.$<>/]{1,200}\((?:[\w.$ /]{1,120})?(?::\d+){0,2}\)|"(?:timestamp|path|trace|request_?id)"\s*:\s*"[^"\n]{0,200}\"""")
+
 
 # A sentence without any of these is no message, a text without any of these no filler phrase and no place.
 _MESSAGE_STEMS = (
@@ -151,8 +157,6 @@ def hashed(kind: str, text: str) -> int:
 
 def evidence(sentence: str) -> str | None:
     """What a message-like sentence tells: ``error``, ``script`` or ``sign_in``."""
-    if len(sentence) > 240:
-        return None
     low = sentence.lower()
     stems = _MESSAGE_STEMS if len(sentence) > _REASON_CHARS else _MESSAGE_STEMS + _REASON_STEMS
     if not any(stem in low for stem in stems) and not _STATUS.search(sentence):
@@ -166,6 +170,23 @@ def evidence(sentence: str) -> str | None:
     return "error" if ERROR.search(sentence) else None
 
 
+def weighed(sentence: str) -> tuple[str | None, int, int]:
+    """What a sentence tells, its characters that tell it, and those that say something else.
+
+    A long sentence is weighed clause by clause, frames of a stack trace count for neither side.
+    """
+    if len(sentence) <= CLAUSE_CHARS or REPORTED.search(sentence):
+        e = evidence(sentence) if len(sentence) <= CLAUSE_CHARS else None
+        return e, len(sentence) if e else 0, 0 if e or _TAIL.match(sentence) else len(sentence)
+    found, told, other = None, 0, 0
+    for clause in _CLAUSE.split(_FRAME.sub(" ", sentence)):
+        e = evidence(clause)
+        found = found or e
+        told += min(len(clause), CLAUSE_CHARS) if e else 0
+        other += max(0, len(clause) - CLAUSE_CHARS) if e else 0 if _TAIL.match(clause) else len(clause)
+    return found, told, other
+
+
 def has_place(text: str) -> bool:
     """Whether a text has a template place."""
     return any(sign in text for sign in _PLACE_SIGNS) and PLACE.search(text) is not None
@@ -215,12 +236,11 @@ def judge(text: str | None, host: str | None, lines: Recurrent | None = None, wo
         return "placeholder", residual
     if is_filler(residual):
         return "filler", residual
-    tells = [evidence(s) for s in parts]
-    found = next((e for e in tells if e), None)
+    tells = [weighed(s) for s in parts]
+    found = next((e for e, _, _ in tells if e), None)
     if found is None:
         return ("filler" if is_gibberish(residual, words) else None), residual
-    told = sum(len(s) for s, e in zip(parts, tells) if e)
-    other = sum(len(s) for s, e in zip(parts, tells) if not e and not _TAIL.match(s))
+    told, other = sum(t for _, t, _ in tells), sum(o for _, _, o in tells)
     return (found if other <= max(60, told) else None), residual  # a text with a message in words is no gibberish
 
 

@@ -27,6 +27,17 @@ def test_kept(text):
     assert judge(text, "h")[0] is None
 
 
+def test_long_lines_are_weighed_by_clauses():
+    body = '{"timestamp":"2025-01-06T10:00:00Z","status":500,"error":"Internal Server Error","message":"could not load the viewer, the request timed out after 30 s","trace":"' + "x.y.Player.open " * 8 + '","path":"/v1/takes/7"}'
+    trace = "Traceback (most recent call last): " + " ".join(f'File "/srv/viewer/part{k}.py", line {k}, in open_take' for k in range(8)) + " RuntimeError server error"
+    script = "This viewer needs JavaScript, JavaScript is disabled in this browser, please enable JavaScript for the player, " * 3
+    sign_in = "Please sign in to see the report, you must log in first, you do not have the permission to see this take, " * 3
+    for text, verdict in ((body, "error"), (trace, "error"), (script, "script"), (sign_in, "sign_in")):
+        assert len(text) > 240 and judge(text, "h")[0] == verdict
+    prose = "The crew moved the ring to the left shelf and lowered the arm while the second camera watched the tray, " * 4
+    assert judge(prose + "the viewer could not load the take, " + prose, "h")[0] is None
+
+
 def test_corpus_boilerplate_and_gibberish(spark):
     real = "The cork ring was moved from the left tray to the rear shelf and the arm was slow on take"
     docs = [(i, f"Home | Takes | Help\n{real} {i} with the camera on", "Viewer Pages", 0) for i in range(60)]
