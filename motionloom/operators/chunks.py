@@ -79,6 +79,17 @@ def with_halo(rows: DataFrame, order: str, halo: int, width: int = CHUNK_ROWS, e
     return near.unionByName(rows.join(bounded_broadcast(far, MAX_FAR_ROWS), [entity, order]).withColumn("is_halo", F.lit(True)))
 
 
+def in_slices(rows: DataFrame, *keys: str, order: str = "ord", arrival: str = "rec") -> DataFrame:
+    """Rows clustered by ``keys`` and sorted by ``order``, of equal order keys only the one that arrived first.
+
+    For batch functions that need whole slices in order. The window states both needs to the planner, which a bare
+    ``repartition`` behind a join does not: it is taken out as redundant and the join below may then be run without
+    its shuffle.
+    """
+    by = Window.partitionBy(*keys).orderBy(order, arrival)
+    return rows.withColumn("_again", F.lag(order).over(by).eqNullSafe(F.col(order))).where(~F.col("_again")).drop("_again", arrival)
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], min_rows: int = 20_000) -> Iterator[pa.Table]:
     """Regroup sorted batches so that no group of equal integer keys is cut; many groups share a table."""
     pending: list[pa.RecordBatch] = []

@@ -4,17 +4,22 @@ Two passes over the frames, both cut by ``(episode, chunk)`` with ``HALO`` rows
 
 1. Per source and channel (field and component) a histogram of step sizes over all rows gives the source's
    normal motion (the ``SCALE_QUANTILE`` of its steps), and rows drawn by hash give a bounded sample of readings.
-   An isolation forest per source is fitted on ``level``, ``difference``, ``seasonal`` (distance from the median
-   of the rows around) and ``run length`` features of that sample.
+   An isolation forest per source is fitted on four features of that sample: ``level`` within the limits,
+   ``difference`` (the smaller step to its two neighbours), ``seasonal`` (how far the reading leaves the course of
+   the rows around it, where that course is resumed within ``MAX_SPIKE_ROWS`` rows) and ``run length``.
 2. Every reading is scored. Reported are readings beyond the physical limits or infinite (``limit``), members of
    a run of ``FREEZE_ROWS`` or more equal values after its first (``frozen``, fields named in ``frozen_fields``),
-   and readings whose forest score is at or above the source's cut and for which an exact check shows that the
-   course is left by more than ``SPIKE_RATIO`` times the normal step and resumed within ``MAX_SPIKE_ROWS`` rows
-   (``spike``).
+   and readings off a resumed course whose forest score is at or above the source's cut (``spike``). How large a
+   departure has to be is decided by the score alone: the cut is the score that a typical reading of the source would
+   have if it left its course by ``SPIKE_RATIO`` normal steps.
 
+Cuts of the trees may lie beyond the sample, up to ``ROOM`` cells above its largest value, so a reading further out
+than any sampled one is isolated earlier the further out it lies. ``WEIGHTS`` says how often a feature is cut.
 Features are put on a coarse grid before fitting and scoring, so a worker sends each distinct feature cell of a
 source through the trees once and looks the score up afterwards.
 
+Sources are surveyed and fitted together; models are taken to the tasks in buckets of about ``SOURCES_AT_ONCE``.
+
 Defined results: rows without entity or order key are ignored; a repeated order key counts once, the earliest
 ``received_at`` first; null and NaN components are missing and no cases, and the rows around them are compared
 across the gap; sources without limits have only infinite values as ``limit`` cases; an empty input gives no rows;
@@ -35,22 +40,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from motionloom.operators.chunks import CHUNK_ROWS, group_starts, ints, matrix, whole_groups, with_halo
+from motionloom.operators.chunks import CHUNK_ROWS, group_starts, in_slices, ints, matrix, whole_groups, with_halo
+from motionloom.session import bounded_broadcast, checkpointed
 
 HALO = 64
 FREEZE_ROWS = 8
 MAX_SPIKE_ROWS = 3
-SPIKE_RATIO = 8.0
+#: Departure, in normal steps, at which a typical reading reaches the cut.
+SPIKE_RATIO = 5.7
+#: The course counts as resumed if its ends differ by less than this share of the departure.
 RESUME_RATIO = 0.5
 SCALE_QUANTILE = 0.9
 #: Readings per source the forest is fitted on (a bound, not a share of the data).
 SAMPLE_READINGS = 4096
-TREES, TREE_SAMPLE = 48, 256
-#: Share of the sample's readings that lie below the score from which a reading is a candidate.
-CUT_QUANTILE = 0.9
-#: Sources scored in one go; more are scored group by group.
+TREES, TREE_SAMPLE = 64, 256
+#: Models that go to the tasks at once.
 SOURCES_AT_ONCE = 500
-AROUND = 4
+MAX_BROADCAST_SOURCES = 100_000
+#: Per feature (level, difference, seasonal, run length): how often it is cut, and how far above the sample.
+WEIGHTS = (0.1, 0.1, 0.7, 0.1)
+ROOM = (1.0, 16.0, 16.0, 1.0)
+SEASONAL = 2
+#: Share of the sample, its largest departures, that is left out of the fit, so that spikes cannot vouch for themselves.
+TRIM = 0.005
 STEP_BINS_PER_OCTAVE, STEP_BIN_LOW, STEP_BINS = 8, -40 * 8, 80 * 8
 
 
@@ -64,18 +76,17 @@ def fit_forest(x: np.ndarray, rng: np.random.Generator, trees: int = TREES, samp
     feature = np.full((trees, nodes), -1, np.int8)
     cut = np.zeros((trees, nodes), np.float32)
     length = np.zeros((trees, nodes), np.float32)
+    room, weights = np.array(ROOM), np.array(WEIGHTS)
     for k in range(trees):
         rows = rng.choice(len(x), min(sample, len(x)), replace=False)
         stack = [(0, 0, x[rows])]
         while stack:
             node, d, part = stack.pop()
-            lo, hi = (part.min(0), part.max(0)) if len(part) else (np.zeros(x.shape[1]), np.zeros(x.shape[1]))
-            able = np.flatnonzero(hi > lo)
-            if d == depth or len(part) <= 1 or not len(able):
+            if d == depth or not len(part):
                 length[k, node] = d + average_path(len(part))
                 continue
-            f = int(rng.choice(able))
-            c = rng.uniform(lo[f], hi[f])
+            f = int(rng.choice(len(weights), p=weights))
+            c = rng.uniform(part[:, f].min(), part[:, f].max() + room[f])
             feature[k, node], cut[k, node] = f, c
             right = part[:, f] > c
             stack.append((2 * node + 1, d + 1, part[~right]))
@@ -143,44 +154,18 @@ def run_lengths(y: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.repeat(np.diff(np.append(starts, len(y))), np.diff(np.append(starts, len(y)))), first
 
 
-def surroundings(y: np.ndarray, group: np.ndarray) -> np.ndarray:
-    """Median of the ``AROUND`` rows on both sides and the row itself; at an edge the other side counts twice."""
-    n = len(y)
-    at = np.arange(n)
-    near = np.empty((2 * AROUND + 1, n))
-    for k, o in enumerate(range(-AROUND, AROUND + 1)):
-        j, m = np.clip(at + o, 0, n - 1), np.clip(at - o, 0, n - 1)
-        j_ok = (at + o >= 0) & (at + o < n) & (group[j] == group)
-        m_ok = (at - o >= 0) & (at - o < n) & (group[m] == group)
-        near[k] = np.where(j_ok, y[j], np.where(m_ok, y[m], y))
-    near.partition(AROUND, axis=0)
-    return near[AROUND]
-
-
-def on_grid(ratio: np.ndarray) -> np.ndarray:
-    """Half octaves of a ratio to the normal step, from 0 (tiny) to 40."""
-    with np.errstate(divide="ignore"):
-        return np.clip(np.floor(2 * np.log2(np.maximum(ratio, 1e-12))) + 10, 0, 40)
+def smaller_steps(y: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """The smaller of the steps from the row before and to the row after; zero for a row alone."""
+    step = np.full(len(y) + 1, np.inf)
+    step[1:-1] = np.where(new[1:], np.inf, np.abs(np.diff(y)))
+    out = np.minimum(step[:-1], step[1:])
+    return np.where(np.isinf(out), 0.0, out)
 
 
-def channel_features(y: np.ndarray, group: np.ndarray, low: np.ndarray, high: np.ndarray, scale: np.ndarray) -> np.ndarray:
-    """Gridded ``level, difference, seasonal, run length`` of the readings of one channel without missing ones."""
-    new = np.ones(len(y), bool)
-    new[1:] = group[1:] != group[:-1]
-    step = np.zeros(len(y))
-    step[1:] = np.where(new[1:], 0.0, np.abs(np.diff(y)))
-    span = np.where(high > low, high - low, 1.0)
-    with np.errstate(invalid="ignore"):
-        level = np.clip(np.floor(np.nan_to_num((y - low) / span, nan=0.5) * 16), -1, 16) + 1
-    length, _ = run_lengths(y, new)
-    runs = np.minimum(np.floor(np.log2(length)), 12)
-    return np.stack([level, on_grid(step / scale), on_grid(np.abs(y - surroundings(y, group)) / scale), runs], axis=1)
-
-
-def left_and_resumed(y: np.ndarray, group: np.ndarray, scale: np.ndarray) -> np.ndarray:
-    """Rows that leave the course and after which it is resumed within ``MAX_SPIKE_ROWS`` rows."""
+def departures(y: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """How far each row leaves the course of the rows around it that is resumed within ``MAX_SPIKE_ROWS`` rows, else zero."""
     n = len(y)
-    out = np.zeros(n, bool)
+    out = np.zeros(n)
     for rows in range(1, MAX_SPIKE_ROWS + 1):
         if n < rows + 2:
             break
@@ -189,25 +174,34 @@ def left_and_resumed(y: np.ndarray, group: np.ndarray, scale: np.ndarray) -> np.
         for k in range(1, rows + 1):
             course = before + (after - before) * (k / (rows + 1))
             away = np.minimum(away, np.abs(y[k : n - rows - 1 + k] - course))
-        hit = (group[: n - rows - 1] == group[rows + 1 :]) & (away > SPIKE_RATIO * scale[: n - rows - 1]) & (np.abs(after - before) < RESUME_RATIO * away)
-        at = np.flatnonzero(hit)
+        hit = (group[: n - rows - 1] == group[rows + 1 :]) & (np.abs(after - before) < RESUME_RATIO * away)
+        away = np.where(hit, away, 0.0)
         for k in range(1, rows + 1):
-            out[at + k] = True
+            np.maximum(out[k : n - rows - 1 + k], away, out=out[k : n - rows - 1 + k])
     return out
 
 
+def on_grid(ratio: np.ndarray) -> np.ndarray:
+    """Half octaves of a ratio to the normal step, from 0 (tiny) to 40."""
+    with np.errstate(divide="ignore"):
+        return np.clip(np.floor(2 * np.log2(np.maximum(ratio, 1e-12))) + 10, 0, 40)
+
+
+def gridded(y: np.ndarray, step: np.ndarray, away: np.ndarray, length: np.ndarray, low: np.ndarray, high: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """The features of readings as cells of the grid."""
+    span = np.where(high > low, high - low, 1.0)
+    with np.errstate(invalid="ignore"):
+        level = np.clip(np.floor(np.nan_to_num((y - low) / span, nan=0.5) * 16), -1, 16) + 1
+    return np.stack([level, on_grid(step / scale), on_grid(away / scale), np.minimum(np.floor(np.log2(np.maximum(length, 1))), 12)], axis=1)
+
+
 # --- passes over slices -------------------------------------------------------------------------------------
 
 
 class _Slices:
-    """Slices of one Arrow table: deduplicated rows, dictionary-coded sources, channels as matrices."""
+    """Slices of one Arrow table: dictionary-coded sources, channels as matrices."""
 
     def __init__(self, t: pa.Table, fields: tuple[str, ...], width: int) -> None:
-        ent, chk, order = ints(t, "entity"), ints(t, "chunk"), ints(t, "ord")
-        again = np.zeros(len(ent), bool)
-        again[1:] = (ent[1:] == ent[:-1]) & (chk[1:] == chk[:-1]) & (order[1:] == order[:-1])
-        if again.any():
-            t = t.filter(pa.array(~again))
         self.table, self.order = t, ints(t, "ord")
         starts = group_starts(t, ["entity", "chunk"])
         self.group = np.zeros(t.num_rows, np.int64)
@@ -267,8 +261,7 @@ def _survey(batches: Iterator[pa.RecordBatch], fields: tuple[str, ...], width: i
                 new = np.ones(len(y), bool)
                 new[1:] = g[1:] != g[:-1]
                 length, _ = run_lengths(y, new)
-                prev = np.where(new, y, np.roll(y, 1))
-                seen = np.stack([y, prev, surroundings(y, g), length, s.low[ok, c], s.high[ok, c]], axis=1)[drawn]
+                seen = np.stack([y, smaller_steps(y, new), departures(y, g), length, s.low[ok, c], s.high[ok, c]], axis=1)[drawn]
                 src_out += [s.sources[k] for k in src[drawn]]
                 ch_out += [fi * width + c] * len(drawn)
                 reading_out += seen.tolist()
@@ -285,6 +278,13 @@ def _survey(batches: Iterator[pa.RecordBatch], fields: tuple[str, ...], width: i
         yield pa.RecordBatch.from_pydict({"source": pa.array(src, pa.string()), "channel": pa.array(ch, pa.int32()), "bin": pa.array(bins, pa.int32()), "n": pa.array(n, pa.int64()), "reading": pa.nulls(len(src), pa.list_(pa.float64()))})
 
 
+def cut_of(forest: dict, x: np.ndarray) -> float:
+    """The score of a typical reading of the sample, had it left its course by ``SPIKE_RATIO`` normal steps."""
+    probe = x.copy()
+    probe[:, SEASONAL] = on_grid(np.array([SPIKE_RATIO]))[0]
+    return float(np.median(score_forest(forest, probe).astype(np.float32)))
+
+
 def _fit_source(pdf: pd.DataFrame, channels: int, seed: int) -> pd.DataFrame:
     """The model of one source from its histograms and sampled readings."""
     source = pdf["source"].iloc[0]
@@ -301,16 +301,14 @@ def _fit_source(pdf: pd.DataFrame, channels: int, seed: int) -> pd.DataFrame:
     if len(drawn):
         ch = drawn["channel"].to_numpy()
         r = np.array(drawn["reading"].tolist(), float)
-        sc = scale[ch]
-        span = np.where(r[:, 5] > r[:, 4], r[:, 5] - r[:, 4], 1.0)
-        level = np.clip(np.floor(np.nan_to_num((r[:, 0] - r[:, 4]) / span, nan=0.5) * 16), -1, 16) + 1
-        x = np.stack([level, on_grid(np.abs(r[:, 0] - r[:, 1]) / sc), on_grid(np.abs(r[:, 0] - r[:, 2]) / sc), np.minimum(np.floor(np.log2(np.maximum(r[:, 3], 1))), 12)], axis=1)
-        x = x[np.lexsort(x.T)]
+        x = gridded(*r.T, scale[ch])
+        x = x[np.lexsort((*np.delete(x, SEASONAL, axis=1).T, x[:, SEASONAL]))]
+        x = x[: max(1, len(x) - int(np.ceil(TRIM * len(x))))]
     else:
         x = np.zeros((1, 4))
     forest = fit_forest(x, np.random.default_rng(seed))
     forest["scale"] = scale
-    forest["at"] = float(np.quantile(score_forest(forest, x).astype(np.float32), CUT_QUANTILE))
+    forest["at"] = cut_of(forest, x)
     forest["id"] = hashlib.sha256(pickle.dumps((source, forest))).hexdigest()
     return pd.DataFrame({"source": [source], "model": [pickle.dumps(forest)]})
 
@@ -319,10 +317,11 @@ FOUND_SCHEMA = "source string, record_id long, field string, component long, sco
 
 
 def _score(batches: Iterator[pa.RecordBatch], fields: tuple[str, ...], frozen_fields: tuple[str, ...], width: int, joints: int, models: dict[str, dict]) -> Iterator[pa.RecordBatch]:
+    empty = {"scale": np.ones(len(fields) * width), "at": np.inf, "id": "empty", **fit_forest(np.zeros((1, 4)), np.random.default_rng(0))}
     for t in whole_groups(batches, ["entity", "chunk"]):
         s = _Slices(t, fields, width)
-        scales = np.stack([models[n]["scale"] for n in s.sources])
-        cuts = np.array([models[n]["at"] for n in s.sources])
+        scales = np.stack([models.get(n, empty)["scale"] for n in s.sources])
+        cuts = np.array([models.get(n, empty)["at"] for n in s.sources])
         for fi, f in enumerate(fields):
             for c in range(width):
                 x = s.values[f][:, c]
@@ -337,13 +336,16 @@ def _score(batches: Iterator[pa.RecordBatch], fields: tuple[str, ...], frozen_fi
                 y, g = x[ok], s.group[ok]
                 sc = scales[s.source[ok], fi * width + c]
                 if len(ok):
-                    feats = channel_features(y, g, s.low[ok, c], s.high[ok, c], sc)
+                    new = np.ones(len(y), bool)
+                    new[1:] = g[1:] != g[:-1]
+                    away = departures(y, g)
+                    feats = gridded(y, smaller_steps(y, new), away, run_lengths(y, new)[0], s.low[ok, c], s.high[ok, c], sc)
                     for k, name in enumerate(s.sources):
                         of = np.flatnonzero(s.source[ok] == k)
                         if len(of):
-                            score[ok[of]] = cell_scores(models[name], feats[of])
+                            score[ok[of]] = cell_scores(models.get(name, empty), feats[of])
                     if c < joints:
-                        spike = left_and_resumed(y, g, sc) & (score[ok] >= cuts[s.source[ok]])
+                        spike = (away > 0) & (score[ok] >= cuts[s.source[ok]])
                         reason[ok[spike]] = "spike"
                 if f in frozen_fields and c < joints:
                     new = np.ones(len(x), bool)
@@ -389,34 +391,25 @@ def implausible_readings(
     ``joints`` of ``width`` components can spike or freeze; all have limits.
     """
     spark = rows.sparkSession
-    per_source = chunks.groupBy(source).agg(F.sum("n_rows").alias("_n"))
+    readings = len(fields) * width
     named = chunks.where(F.col(source).isNotNull())
-    joined = named.select(F.col(entity).cast("long").alias("entity"), "chunk", F.col(source).alias("source"), F.col(low).alias("low"), F.col(high).alias("high"))
+    rates = named.groupBy(F.col(source).alias("source")).agg(F.least(F.lit(1.0), F.lit(float(sample_readings)) / (F.greatest(F.sum("n_rows"), F.lit(1)) * readings)).alias("rate"))
+    side = named.select(F.col(entity).cast("long").alias("entity"), "chunk", F.col(source).alias("source"), F.col(low).alias("low"), F.col(high).alias("high"))
     plain = rows.where(F.col(entity).isNotNull() & F.col(order).isNotNull()).select(F.col(entity).cast("long").alias("entity"), F.col(order).cast("long").alias("ord"), F.col(received).alias("rec"), *fields)
     halo = with_halo(plain, "ord", HALO, chunk_rows, "entity")
 
     def sliced(side: DataFrame) -> DataFrame:
-        return halo.join(side, ["entity", "chunk"]).repartition("entity", "chunk").sortWithinPartitions("entity", "chunk", "ord", "rec").drop("rec")
-
-    totals = {r[0]: r[1] for r in per_source.collect() if r[0] is not None}
-    names = sorted(totals)
-    readings = len(fields) * width
-    parts = []
-    for at in range(0, len(names), SOURCES_AT_ONCE):
-        group = names[at : at + SOURCES_AT_ONCE]
-        rates = spark.createDataFrame([(n, min(1.0, sample_readings / max(1, totals[n] * readings))) for n in group], "source string, rate double")
-        side = joined.join(F.broadcast(rates), "source")  # at most SOURCES_AT_ONCE rows
-        stats = sliced(side).mapInArrow(lambda it: _survey(it, fields, width), STATS_SCHEMA)
-        stats = stats.groupBy("source", "channel", "bin", "reading").agg(F.sum("n").alias("n"))
-        fitted = stats.repartition(min(len(group), max(1, spark.sparkContext.defaultParallelism)), "source").groupBy("source").applyInPandas(lambda pdf: _fit_source(pdf, readings, seed), "source string, model binary").collect()
-        models = {r[0]: pickle.loads(r[1]) for r in fitted}
-        empty = {"scale": np.ones(readings), "at": 0.0, "id": "empty", **fit_forest(np.zeros((1, 4)), np.random.default_rng(seed))}
-        models = {n: models.get(n, empty) for n in group}
-        shared = spark.sparkContext.broadcast(models)  # SOURCES_AT_ONCE models of a fixed size
-        parts.append(sliced(side.drop("rate")).mapInArrow(lambda it, m=shared: _score(it, fields, frozen_fields, width, joints, m.value), FOUND_SCHEMA))
-    if not parts:
-        return spark.createDataFrame([], FOUND_SCHEMA)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        return in_slices(halo.join(side, ["entity", "chunk"]), "entity", "chunk")
+
+    stats = sliced(side.join(bounded_broadcast(rates, MAX_BROADCAST_SOURCES), "source")).mapInArrow(lambda it: _survey(it, fields, width), STATS_SCHEMA)
+    stats = stats.groupBy("source", "channel", "bin", "reading").agg(F.sum("n").alias("n"))
+    models = checkpointed(stats.groupBy("source").applyInPandas(lambda pdf: _fit_source(pdf, readings, seed), "source string, model binary"))
+    buckets = max(1, -(-models.count() // SOURCES_AT_ONCE))
+    bucket = F.pmod(F.xxhash64("source"), F.lit(buckets))
+    out = None
+    for b in range(buckets):
+        here = {r[0]: pickle.loads(r[1]) for r in models.where(bucket == b).collect()}  # about SOURCES_AT_ONCE models of a fixed size
+        shared = spark.sparkContext.broadcast(here)
+        found = sliced(side.where(bucket == b)).mapInArrow(lambda it, m=shared: _score(it, fields, frozen_fields, width, joints, m.value), FOUND_SCHEMA)
+        out = found if out is None else out.unionByName(found)
     return out

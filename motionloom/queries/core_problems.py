@@ -111,6 +111,34 @@ j AS (SELECT r.ref_table, r.ref_field, r.key, r.record_id, r.ts, count(p.key) AS
 o AS (SELECT *, CASE WHEN known = 0 THEN 'missing' WHEN ended > 0 THEN 'deleted' ELSE 'late' END AS kind FROM j WHERE live = 0)
 """
 
+def _ahead(k: int) -> str:
+    return f"lead(x, {k}) OVER w" if k > 0 else "x" if k == 0 else f"lag(x, {-k}) OVER w"
+
+
+def _leaves(rows: int) -> str:
+    """Whether a departure of some rows begins at this row: away from the course by far more than the normal step, and resumed."""
+    away = ", ".join(f"abs(x{k} - (xb + (x{rows} - xb) * {k + 1} / {rows + 1}.0))" for k in range(rows))
+    return f"least({away}) > 5 * scale AND abs(x{rows} - xb) < 0.5 * least({away})"
+
+
+_P3 = f"""WITH {_DEDUP.split("er AS")[0].rstrip().rstrip(",")},
+q AS (SELECT robot_id, min(joint_low) AS lo, min(joint_high) AS hi FROM quality_thresholds GROUP BY robot_id),
+c AS (SELECT unnest(range(0, 8)) AS component), s AS (SELECT unnest(['state', 'action']) AS field),
+v AS (SELECT f.global_index, f.episode_index, e.robot_id, s.field, c.component, CAST(CASE s.field WHEN 'state' THEN f.state ELSE f.action END[c.component + 1] AS DOUBLE) AS x, q.lo[c.component + 1] AS lo, q.hi[c.component + 1] AS hi
+  FROM f JOIN e USING (episode_index) JOIN q USING (robot_id), c, s),
+b AS (SELECT *, x IS NULL OR isnan(x) AS absent, coalesce(NOT isnan(x) AND (isinf(x) OR x < lo OR x > hi), false) AS beyond FROM v),
+o AS (SELECT *, {", ".join(f"{_ahead(k)} AS x{'b' if k < 0 else k}" for k in (-1, 0, 1, 2, 3))} FROM b WHERE NOT absent AND NOT beyond AND component < 7 WINDOW w AS (PARTITION BY episode_index, field, component ORDER BY global_index)),
+m AS (SELECT robot_id, field, component, quantile_cont(abs(x - xb), 0.9) AS scale FROM o WHERE xb IS NOT NULL AND x <> xb GROUP BY ALL),
+h AS (SELECT o.*, {", ".join(f"coalesce({_leaves(k)}, false) AS h{k}" for k in (1, 2, 3))} FROM o JOIN m USING (robot_id, field, component)),
+spikes AS (SELECT global_index, field, component, h1 OR h2 OR h3 OR coalesce(lag(h2 OR h3) OVER w, false) OR coalesce(lag(h3, 2) OVER w, false) AS hit FROM h WINDOW w AS (PARTITION BY episode_index, field, component ORDER BY global_index)),
+z AS (SELECT *, CASE WHEN absent OR lag(absent) OVER w OR x <> lag(x) OVER w THEN 1 ELSE 0 END AS brk FROM b WHERE field = 'state' AND component < 7 WINDOW w AS (PARTITION BY episode_index, component ORDER BY global_index)),
+y AS (SELECT *, sum(brk) OVER (PARTITION BY episode_index, component ORDER BY global_index) AS run FROM z),
+frozen AS (SELECT *, count(*) OVER (PARTITION BY episode_index, component, run) AS n, row_number() OVER (PARTITION BY episode_index, component, run ORDER BY global_index) AS k FROM y)
+"""
+_P3_FOUND = """SELECT global_index, field, component FROM b WHERE beyond
+UNION SELECT global_index, field, component FROM spikes WHERE hit
+UNION SELECT global_index, field, component FROM frozen WHERE n >= 8 AND k > 1 AND NOT absent"""
+
 _SPELT = ", ".join(f"('{s}', '{code}', '{q}')" for q, codes in UNITS.items() for code in codes for s in SPELLINGS[code])
 _CONTROL = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in CONTROL_QUANTITY.items())
 _QUANTITY = f"coalesce(representation, CASE control_type {_CONTROL} ELSE control_type END)"
@@ -129,6 +157,7 @@ u AS (SELECT x.reading_id, x.has_number, x.quantity, coalesce(a.code, b.code, c.
 """
 
 SQL = {
+    "p3_found": _P3 + _P3_FOUND,
     "p6_found": _P6 + "SELECT DISTINCT reading_id, unit FROM u WHERE has_number AND unit NOT IN ('rad', 'rad/s', 'Nm', 'm', 'dimensionless')",
     "p5_found": _P5 + "SELECT ref_table, ref_field, record_id, kind FROM o",
     "p5_snapshots": _P5 + """, ev AS (SELECT ref_table, ref_field, strftime(ts, '%Y-%m') AS month, kind, 1 AS n, 0 AS r FROM o

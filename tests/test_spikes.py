@@ -2,7 +2,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from motionloom.operators.chunks import chunk_sizes
-from motionloom.operators.spikes import cell_scores, fit_forest, implausible_readings, score_forest, surroundings
+from motionloom.operators.spikes import SPIKE_RATIO, cell_scores, cut_of, departures, fit_forest, gridded, implausible_readings, run_lengths, score_forest, smaller_steps
 
 
 def flags(spark, f, width=2, joints=1, chunk=32, low=(-5.0, -5.0), high=(5.0, 5.0)):
@@ -41,19 +41,38 @@ def test_empty_and_constant(spark, frames):
 def test_forest_prefers_outliers_and_memo_is_exact():
     rng = np.random.default_rng(1)
     x = rng.integers(4, 9, (2000, 4)).astype(float)
-    x[:5] = [17, 35, 35, 0]
+    x[:5] = [7, 35, 35, 0]
     forest = {**fit_forest(x, rng), "id": "t"}
     s = score_forest(forest, x)
     assert s[:5].min() > np.quantile(s[5:], 0.99)
     assert np.allclose(cell_scores(forest, x), s, atol=1e-6) and np.allclose(cell_scores(forest, x), s, atol=1e-6)
 
 
-def test_surroundings_is_the_median():
-    rng = np.random.default_rng(2)
-    y = rng.normal(size=40)
-    got = surroundings(y, np.zeros(40, int))
-    for i in range(4, 36):
-        assert got[i] == np.median(y[i - 4 : i + 5])
+def test_departures():
+    y = np.array([0.0, 0.1, 5.0, 0.2, 0.3, 0.3, 0.4, 0.5, 4.0, 4.2, 4.1, 0.4, 0.5, 0.6, 0.7, 9.0, 9.1, 9.2, 9.3, 9.4])
+    away = departures(y, np.zeros(len(y), int))
+    assert np.flatnonzero(away > 1).tolist() == [2, 8, 9, 10]
+    assert not (departures(y, np.arange(len(y))) > 0).any()
+
+
+def test_the_forest_decides_which_departures_are_spikes():
+    """Without the score every resumed wiggle would be a case, and with it only those far beyond normal motion."""
+    rng = np.random.default_rng(3)
+    y = np.cumsum(rng.normal(0, 0.01, 4000)) + rng.normal(0, 0.004, 4000)
+    planted = np.arange(100, 3900, 190)
+    y[planted] += rng.choice([-1, 1], len(planted)) * rng.uniform(0.3, 2.0, len(planted))
+    new = np.zeros(len(y), bool)
+    new[0] = True
+    group, scale = np.zeros(len(y), int), np.full(len(y), np.quantile(np.abs(np.diff(y)), 0.9))
+    away = departures(y, group)
+    x = gridded(y, smaller_steps(y, new), away, run_lengths(y, new)[0], np.full(len(y), -5.0), np.full(len(y), 5.0), scale)
+    forest = fit_forest(x[rng.choice(len(x), 1000, replace=False)], rng)
+    score = score_forest(forest, x)
+    cut = cut_of(forest, x)
+    assert np.flatnonzero((away > 0) & (score >= cut)).tolist() == planted.tolist()
+    assert (away > 0).sum() > 20 * len(planted)
+    ratio = away / scale
+    assert ratio[planted].min() > SPIKE_RATIO
 
 
 def test_keys_with_strides_change_nothing(spark, frames):
