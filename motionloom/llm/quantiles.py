@@ -7,9 +7,11 @@ one full buffer per level, and each collapse of weight ``w`` moves any rank by a
 kept, and is at most ``n log2(n / k) / (2 k)``. Summaries of partitions and days merge by the same rule, so the
 whole is obtained from the days, with its own stated bound.
 
-Rows are summarised where they lie, per source and day, before anything is shuffled by source; partial summaries
-are merged per ``(source, day, salt)``, then per ``(source, day)``, then per source, each time as a stream with one
-summary in memory.
+Rows are summarised where they lie, per source and day, before anything is shuffled by source. Partial summaries are
+merged per ``(source, day, salt)``; then per source and span of ``SPAN_DAYS`` days, which gives the days' results and
+one summary of the span; then the spans per source. Each merge is a stream with one or two summaries in memory, so the
+largest task reads ``SPAN_DAYS * SALTS`` summaries of bounded size. Summaries carry the first slice they were made
+from and are merged in its order, so equal inputs give equal results.
 
 Defined results: null, NaN and infinite components are not counted; a repeated order key counts once, the earliest
 ``received_at`` first, whose day (UTC) it gets; rows without entity, order key, time or source are ignored; a
@@ -26,10 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from motionloom.operators.chunks import CHUNK_ROWS, chunk_of, floats, ints, matrix, whole_groups
+from motionloom.operators.chunks import CHUNK_ROWS, chunk_of, floats, in_slices, ints, matrix, whole_groups
+from motionloom.session import checkpointed
 
 K = 4096
 SALTS = 16
+SPAN_DAYS = 16
 #: Values a task holds before it hands its summaries on.
 HELD_VALUES = 4_000_000
 
@@ -134,30 +138,26 @@ def unpack(data: bytes, width: int, dtype: str, k: int) -> list[Buffers]:
     return out
 
 
-_SUMMARY = "source string, day int, salt int, quantile double, summary binary"
+_SUMMARY = "source string, day int, salt int, entity long, chunk long, quantile double, summary binary"
+_SUMMARY_TYPES = (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.binary())
+_SUMMARY_NAMES = tuple(f.split()[0] for f in _SUMMARY.split(", "))
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    types = (pa.string(), pa.int32(), pa.int32(), pa.float64(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["source", "day", "salt", "quantile", "summary"])
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(_SUMMARY_TYPES)], names=list(_SUMMARY_NAMES))
 
 
 def _summarise(batches: Iterator[pa.RecordBatch], width: int, dtype: str, k: int) -> Iterator[pa.RecordBatch]:
     held: dict[tuple[str, int, float], list[Buffers]] = {}
-    n = flushed = 0
+    n, first = 0, None
 
     def out() -> Iterator[pa.RecordBatch]:
-        rows = [(src, day, (hash((day, flushed)) + seed) % SALTS, q, pack(s, dtype)) for (src, day, q), s in held.items()]
+        rows = [(src, day, (day + 7 * first[0] + first[1]) % SALTS, *first, q, pack(s, dtype)) for (src, day, q), s in held.items()]
         for a in range(0, len(rows), 200):
             yield _batch(rows[a : a + 200])
 
-    seed = 0
     for t in whole_groups(batches, ["entity", "chunk"]):
-        ent, chk, order = ints(t, "entity"), ints(t, "chunk"), ints(t, "ord")
-        seed = seed or int(ent[0] % 1009)
-        first = np.ones(len(ent), bool)
-        first[1:] = (ent[1:] != ent[:-1]) | (chk[1:] != chk[:-1]) | (order[1:] != order[:-1])
-        t = t.filter(pa.array(first))
+        first = first or (int(ints(t, "entity")[0]), int(ints(t, "chunk")[0]))
         vec, day, q = matrix(t, "vec", width), ints(t, "day"), floats(t, "quantile")
         code = t.column("source").combine_chunks().dictionary_encode()
         code = code.combine_chunks() if isinstance(code, pa.ChunkedArray) else code
@@ -177,58 +177,68 @@ def _summarise(batches: Iterator[pa.RecordBatch], width: int, dtype: str, k: int
         n += len(by) * width
         if n > HELD_VALUES:
             yield from out()
-            held, n, flushed = {}, 0, flushed + 1
+            held, n, first = {}, 0, None
     yield from out()
 
 
-def _merged(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...], width: int, dtype: str, k: int) -> Iterator[pa.RecordBatch]:
-    """Merge a sorted stream of summaries by key."""
+def _streams(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...], width: int, dtype: str, k: int) -> Iterator[tuple[tuple, list[Buffers]]]:
+    """First row and merged summaries of each key of a sorted stream."""
     now, kept, total = None, None, None
+    at = [_SUMMARY_NAMES.index(c) for c in keys]
     for b in batches:
-        cols = {c: b.column(c).to_pylist() for c in ("source", "day", "salt", "quantile", "summary")}
-        for row in zip(*cols.values()):
-            key = tuple(row[("source", "day", "salt").index(c)] for c in keys)
-            parts = unpack(row[4], width, dtype, k)
+        for row in zip(*(b.column(c).to_pylist() for c in _SUMMARY_NAMES)):
+            key, parts = tuple(row[i] for i in at), unpack(row[-1], width, dtype, k)
             if key != now:
                 if total is not None:
-                    yield _batch([(*kept, pack(total, dtype))])
-                now, kept, total = key, row[:4], parts
+                    yield kept, total
+                now, kept, total = key, row, parts
             else:
                 for s, p in zip(total, parts):
                     s.merge(p)
     if total is not None:
-        yield _batch([(*kept, pack(total, dtype))])
+        yield kept, total
 
 
-RESULT = "source string, day int, component long, n long, low double, median double, high double, rank_error double"
+def _merged(batches: Iterator[pa.RecordBatch], width: int, dtype: str, k: int) -> Iterator[pa.RecordBatch]:
+    """Summaries per source, day and salt."""
+    for row, total in _streams(batches, ("source", "day", "salt"), width, dtype, k):
+        yield _batch([(*row[:-1], pack(total, dtype))])
 
 
-def _results(batches: Iterator[pa.RecordBatch], width: int, dtype: str, k: int) -> Iterator[pa.RecordBatch]:
-    """Rows of each day and, from the days, of the whole, of a stream sorted by source and day."""
-    fields = [f.split() for f in RESULT.split(", ")]
-    types = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64()}
+RESULT = "source string, day int, component long, n long, low double, median double, high double, rank_error double"
+_SPANS = f"{RESULT}, span int, quantile double, summary binary"
+
+
+def _found(row: tuple, summaries: list[Buffers], day: int | None, extra: tuple = ()) -> pa.RecordBatch:
+    """Result rows of one source and day (null: all days), and a row for what is to be merged further."""
+    source, q = row[0], row[5]
+    rows = [] if day is None and extra else [(source, day, c, s.n, *s.quantiles([1 - q, 0.5, q]), s.error / s.n) for c, s in enumerate(summaries) if s.n]
+    types = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
+    fields = [f.split() for f in (_SPANS if extra is not None else RESULT).split(", ")]
+    rows = [(*r, *[None] * (len(fields) - len(r))) for r in rows] + ([(source, *[None] * 7, *extra)] if extra else [])
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], types[t]) for i, (_, t) in enumerate(fields)], names=[f for f, _ in fields])
+
+
+def _days(batches: Iterator[pa.RecordBatch], width: int, dtype: str, k: int) -> Iterator[pa.RecordBatch]:
+    """Results of each day, and the summary of each span of days, of a stream sorted by source and day."""
+    now, first, whole = None, None, []
+    for row, total in _streams(batches, ("source", "day"), width, dtype, k):
+        yield _found(row, total, row[1])
+        span = (row[0], row[1] // SPAN_DAYS)
+        if span != now:
+            if now is not None:
+                yield _found(first, whole, None, (now[1], first[5], pack(whole, dtype)))
+            now, first, whole = span, row, [Buffers(k) for _ in range(width)]
+        for s, p in zip(whole, total):
+            s.merge(p)
+    if now is not None:
+        yield _found(first, whole, None, (now[1], first[5], pack(whole, dtype)))
 
-    def rows(source: str, day: int | None, q: float, summaries: list[Buffers]) -> pa.RecordBatch:
-        found = []
-        for c, s in enumerate(summaries):
-            if s.n:
-                low, mid, high = s.quantiles([1 - q, 0.5, q])
-                found.append((source, day, c, s.n, low, mid, high, s.error / s.n))
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in found], types[t]) for i, (_, t) in enumerate(fields)], names=[f for f, _ in fields])
 
-    now, q, whole = None, 0.0, []
-    for b in batches:
-        for source, day, quantile, data in zip(*(b.column(c).to_pylist() for c in ("source", "day", "quantile", "summary"))):
-            parts = unpack(data, width, dtype, k)
-            yield rows(source, day, quantile, parts)
-            if source != now:
-                if now is not None:
-                    yield rows(now, None, q, whole)
-                now, q, whole = source, quantile, [Buffers(k) for _ in range(width)]
-            for s, p in zip(whole, parts):
-                s.merge(p)
-    if now is not None:
-        yield rows(now, None, q, whole)
+def _wholes(batches: Iterator[pa.RecordBatch], width: int, dtype: str, k: int) -> Iterator[pa.RecordBatch]:
+    """Results of all days of each source, from its spans in order."""
+    for row, total in _streams(batches, ("source",), width, dtype, k):
+        yield _found(row, total, None, None)
 
 
 def percentile_bounds(
@@ -253,10 +263,30 @@ def percentile_bounds(
     known = sources.where(F.col(source).isNotNull()).select(F.col(entity).cast("long").alias("entity"), "chunk", F.col(source).alias("source"), F.coalesce(F.col(quantile), F.lit(0.99)).cast("double").alias("quantile"))
     r = rows.where(F.col(entity).isNotNull() & F.col(order).isNotNull() & F.col(received).isNotNull())
     r = r.select(F.col(entity).cast("long").alias("entity"), chunk_of(F.col(order), chunk_rows).alias("chunk"), F.col(order).cast("long").alias("ord"), F.col(received).alias("rec"), F.unix_date(F.col(received).cast("date")).alias("day"), F.col(vector).alias("vec"))
-    r = r.join(known, ["entity", "chunk"]).repartition("entity", "chunk").sortWithinPartitions("entity", "chunk", "ord", "rec").drop("rec")
+    r = in_slices(r.join(known, ["entity", "chunk"]), "entity", "chunk")
     parts = r.mapInArrow(lambda it: _summarise(it, width, dtype, k), _SUMMARY)
-    for keys in (("source", "day", "salt"), ("source", "day")):
-        parts = parts.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lambda it, by=keys: _merged(it, by, width, dtype, k), _SUMMARY)
-    parts = parts.repartition("source").sortWithinPartitions("source", "day")
-    out = parts.mapInArrow(lambda it: _results(it, width, dtype, k), RESULT)
+    by = ("source", "day", "salt")
+    parts = parts.repartition(*by).sortWithinPartitions(*by, "entity", "chunk").mapInArrow(lambda it: _merged(it, width, dtype, k), _SUMMARY)
+    parts = parts.repartition("source", F.floor(F.col("day") / SPAN_DAYS)).sortWithinPartitions("source", "day", "salt")
+    days = checkpointed(parts.mapInArrow(lambda it: _days(it, width, dtype, k), _SPANS))
+    none = F.lit(0)
+    spans = days.where(F.col("span").isNotNull()).select("source", F.col("span").alias("day"), none.alias("salt"), none.cast("long").alias("entity"), none.cast("long").alias("chunk"), "quantile", "summary")
+    whole = spans.repartition("source").sortWithinPartitions("source", "day").mapInArrow(lambda it: _wholes(it, width, dtype, k), RESULT)
+    out = days.where(F.col("span").isNull()).select(*whole.columns).unionByName(whole)
     return out.select(F.col("source").alias(source), F.date_from_unix_date("day").alias("day"), "component", "n", "low", "median", "high", "rank_error")
+
+
+def rank_bounds_kept(rows: DataFrame, sources: DataFrame, bounds: DataFrame, width: int, entity: str = "episode_index", order: str = "global_index", vector: str = "action", received: str = "received_at", source: str = "robot_id", quantile: str = "quantile", chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """For each row of ``bounds`` whether the true ranks of its three values lie within its stated error, by counting all values."""
+    known = sources.where(F.col(source).isNotNull()).select(F.col(entity).alias("_e"), F.col("chunk").alias("_c"), F.col(source).alias("_source"), F.col(quantile).alias("_q"))
+    once = rows.where(F.col(received).isNotNull()).groupBy(F.col(entity).alias("_e"), F.col(order).alias("_o")).agg(F.min_by(vector, received).alias("_v"), F.date_format(F.min(received), "yyyy-MM-dd").alias("_day"))
+    x = once.withColumn("_c", chunk_of(F.col("_o"), chunk_rows)).join(known, ["_e", "_c"])
+    x = x.select("_source", "_q", F.explode(F.array("_day", F.lit("all"))).alias("_d"), F.posexplode(F.slice("_v", 1, width)).alias("_k", "_x")).where(~F.isnan("_x") & (F.abs("_x") != float("inf")))
+    b = bounds.select(F.col(source).alias("_source"), F.coalesce(F.col("day").cast("string"), F.lit("all")).alias("_d"), F.col("component").cast("int").alias("_k"), "low", "median", "high", "rank_error")
+    counts = [F.count_if(test).alias(f"_{side}_{v}") for v in ("low", "median", "high") for side, test in (("below", F.col("_x") < F.col(v)), ("upto", F.col("_x") <= F.col(v)))]
+    on = ["_source", "_d", "_k"]
+    c = x.join(b, on).groupBy(*on, "_q", "rank_error").agg(F.count(F.lit(1)).alias("n"), *counts)
+    share = {"low": 1 - F.col("_q"), "median": F.lit(0.5), "high": F.col("_q")}
+    slack = F.col("rank_error") * F.col("n") + F.lit(1)
+    kept = [((F.col(f"_below_{v}") <= q * F.col("n") + slack) & (F.col(f"_upto_{v}") >= q * F.col("n") - slack)).alias(f"{v}_kept") for v, q in share.items()]
+    return c.select(F.col("_source").alias(source), F.when(F.col("_d") != "all", F.col("_d")).alias("day"), F.col("_k").cast("long").alias("component"), "n", *kept)

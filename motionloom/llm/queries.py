@@ -7,23 +7,41 @@ from pyspark.sql import functions as F
 
 from motionloom.llm.leakage import SPAN, leaked_passages
 from motionloom.llm.mixing import Mix
-from motionloom.llm.quantiles import percentile_bounds
+from motionloom.llm.quantiles import percentile_bounds, rank_bounds_kept
 from motionloom.llm.residue import residue
 from motionloom.llm.runs import collapse_runs
 from motionloom.operators.episodes import chunk_table, episode_settings
 from motionloom.sources.tables import table
 
 ACTION_WIDTH = 8
+#: Seconds between facing events that end a stretch in p2_gaps and p2_similar.
+MAX_GAP = 0.5
 
 
-def p2_runs(spark: SparkSession, folder: str) -> DataFrame:
-    """Every stretch of near-equal actions once, where its episode keeps enough rows."""
+def _events(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     frames = table(spark, folder, "frames")
     settings = episode_settings(table(spark, folder, "episodes"), None, table(spark, folder, "quality_thresholds"), ("static_epsilon", "min_kept_frames"))
-    limits = chunk_table(frames, settings).withColumnsRenamed({"static_epsilon": "max_step", "min_kept_frames": "min_kept"})
+    return frames, chunk_table(frames, settings).withColumnsRenamed({"static_epsilon": "max_step", "min_kept_frames": "min_kept"})
+
+
+def p2_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Every stretch of near-equal actions once, where its episode keeps enough rows."""
+    frames, limits = _events(spark, folder)
     return collapse_runs(frames, limits, ACTION_WIDTH).where(F.col("kept_rows") >= F.col("min_kept")).select("episode_index", "first_index", "last_index", "n_rows", "duration")
 
 
+def p2_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Stretches of near-equal actions that an interruption of the clock by half a second ends too, with their rows."""
+    frames, limits = _events(spark, folder)
+    return collapse_runs(frames, limits, ACTION_WIDTH, max_gap=MAX_GAP).select("episode_index", "first_index", "last_index", "n_rows", "kept_rows")
+
+
+def p2_similar(spark: SparkSession, folder: str) -> DataFrame:
+    """Stretches whose mean actions stay within the limit: centroid linkage, the most similar neighbours merged first."""
+    frames, limits = _events(spark, folder)
+    return collapse_runs(frames, limits, ACTION_WIDTH, linkage="centroid", max_gap=MAX_GAP).select("episode_index", "first_index", "last_index", "n_rows", "kept_rows")
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     """First and last row of each stretch."""
     return p2_runs(spark, folder).select("episode_index", "first_index", "last_index")
@@ -36,6 +54,13 @@ def p4_percentiles(spark: SparkSession, folder: str) -> DataFrame:
     return percentile_bounds(frames, chunk_table(frames, settings), ACTION_WIDTH).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
+def p4_rank_bounds(spark: SparkSession, folder: str) -> DataFrame:
+    """With buffers of 64 values, which collapse many times: whether every stated error holds, by counting all values."""
+    frames = table(spark, folder, "frames")
+    sources = chunk_table(frames, episode_settings(table(spark, folder, "episodes"), None, table(spark, folder, "quality_thresholds"), ("quantile",)))
+    return rank_bounds_kept(frames, sources, percentile_bounds(frames, sources, ACTION_WIDTH, k=64), ACTION_WIDTH)
+
+
 def p7_passages(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with passages of evaluation items, equal or with few substitutions."""
     return leaked_passages(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
@@ -75,20 +100,23 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return p9_verdicts(spark, folder).where(F.col("verdict").isNotNull()).select("doc_id").distinct()
 
 
-QUERIES = {"p2_found": p2_found, "p2_runs": p2_runs, "p4_percentiles": p4_percentiles, "p7_found": p7_found, "p7_passages": p7_passages, "p8_found": p8_found, "p8_report": p8_report, "p8_mix": p8_mix, "p9_found": p9_found, "p9_verdicts": p9_verdicts}
+QUERIES = {"p2_found": p2_found, "p2_runs": p2_runs, "p2_gaps": p2_gaps, "p2_similar": p2_similar, "p4_percentiles": p4_percentiles, "p4_rank_bounds": p4_rank_bounds, "p7_found": p7_found, "p7_passages": p7_passages, "p8_found": p8_found, "p8_report": p8_report, "p8_mix": p8_mix, "p9_found": p9_found, "p9_verdicts": p9_verdicts}
 
-_P2 = """WITH f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY global_index ORDER BY received_at) AS _rn FROM frames) WHERE _rn = 1),
+_P2_FRAME = """WITH f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY global_index ORDER BY received_at) AS _rn FROM frames) WHERE _rn = 1),
 e AS (SELECT episode_index, min(robot_id) AS robot_id FROM episodes GROUP BY episode_index),
 q AS (SELECT robot_id, min(static_epsilon) AS eps, min(min_kept_frames) AS min_kept FROM quality_thresholds GROUP BY robot_id),
 r AS (SELECT f.episode_index, f.global_index, f.t, q.eps, q.min_kept, f.action AS a,
-  lag(f.action) OVER w AS p FROM f JOIN e USING (episode_index) JOIN q USING (robot_id) WINDOW w AS (PARTITION BY f.episode_index ORDER BY f.global_index)),
-d AS (SELECT *, CASE WHEN a IS NULL OR p IS NULL OR len(list_filter(list_concat(a, p), lambda x: x IS NULL OR NOT isfinite(x))) > 0 THEN 1
+  lag(f.action) OVER w AS p, abs(f.t - lag(f.t) OVER w) AS dt FROM f JOIN e USING (episode_index) JOIN q USING (robot_id) WINDOW w AS (PARTITION BY f.episode_index ORDER BY f.global_index)),
+d AS (SELECT *, CASE WHEN {gap}a IS NULL OR p IS NULL OR len(list_filter(list_concat(a, p), lambda x: x IS NULL OR NOT isfinite(x))) > 0 THEN 1
   WHEN list_max(list_transform(list_zip(a, p), lambda z: abs(CAST(z[1] AS DOUBLE) - CAST(z[2] AS DOUBLE)))) <= eps THEN 0 ELSE 1 END AS brk FROM r),
 i AS (SELECT *, sum(brk) OVER (PARTITION BY episode_index ORDER BY global_index) AS run FROM d),
 g AS (SELECT episode_index, run, min(global_index) AS first_index, max(global_index) AS last_index, count(*) AS n_rows, max(t) - min(t) AS duration, max(min_kept) AS min_kept FROM i GROUP BY episode_index, run),
 k AS (SELECT *, sum(n_rows) OVER (PARTITION BY episode_index) - sum(CASE WHEN n_rows >= 3 THEN n_rows - 1 ELSE 0 END) OVER (PARTITION BY episode_index) AS kept FROM g)
 """
 
+_P2 = _P2_FRAME.replace("{gap}", "")
+_P2_GAPS = _P2_FRAME.replace("{gap}", f"dt IS NULL OR NOT dt <= {MAX_GAP} OR ")
+
 _WORDS = "list_filter(string_split_regex(lower(strip_accents(replace(regexp_replace(replace({}, chr(65279), ''), '</?[A-Za-z][^<>]*>', ' ', 'g'), 'ß', 'ss'))), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '')"
 _P7 = f"""WITH d AS (SELECT DISTINCT doc_id, {_WORDS.format("text")} AS w FROM documents WHERE text IS NOT NULL),
 i AS (SELECT item_id, {_WORDS.format("item_text")} AS w FROM eval_items),
@@ -103,12 +131,15 @@ v AS (SELECT e.robot_id, q.quantile, strftime(f.received_at, '%Y-%m-%d') AS day,
 w AS (SELECT robot_id, quantile, day, component, CAST(x AS DOUBLE) AS x FROM v WHERE x IS NOT NULL AND isfinite(x)),
 g AS (SELECT robot_id, quantile, day, component, x FROM w UNION ALL SELECT robot_id, quantile, NULL, component, x FROM w),
 k AS (SELECT *, row_number() OVER (PARTITION BY robot_id, day, component ORDER BY x) AS r, count(*) OVER (PARTITION BY robot_id, day, component) AS n FROM g)
-SELECT robot_id, day, component, n, min(x) FILTER (WHERE r >= (1 - quantile) * n) AS low, min(x) FILTER (WHERE r >= 0.5 * n) AS median, min(x) FILTER (WHERE r >= quantile * n) AS high, 0.0::DOUBLE AS rank_error
+"""
+_P4_FOUND = """SELECT robot_id, day, component, n, min(x) FILTER (WHERE r >= (1 - quantile) * n) AS low, min(x) FILTER (WHERE r >= 0.5 * n) AS median, min(x) FILTER (WHERE r >= quantile * n) AS high, 0.0::DOUBLE AS rank_error
 FROM k GROUP BY robot_id, day, component, n"""
 
 SQL = {
-    "p4_percentiles": _P4,
+    "p4_percentiles": _P4 + _P4_FOUND,
+    "p4_rank_bounds": _P4 + "SELECT robot_id, day, component, max(n) AS n, true AS low_kept, true AS median_kept, true AS high_kept FROM k GROUP BY robot_id, day, component",
     "p7_found": _P7 + "SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g)",
     "p2_found": _P2 + "SELECT episode_index, first_index, last_index FROM k WHERE n_rows >= 3 AND kept >= min_kept",
+    "p2_gaps": _P2_GAPS + "SELECT episode_index, first_index, last_index, n_rows, CAST(kept AS BIGINT) AS kept_rows FROM k WHERE n_rows >= 3",
     "p2_runs": _P2 + "SELECT episode_index, first_index, last_index, n_rows, duration FROM k WHERE n_rows >= 3 AND kept >= min_kept",
 }

@@ -46,4 +46,6 @@ def test_days_and_whole(spark, frames):
     for q, name in ((0.1, "low"), (0.5, "median"), (0.9, "high")):
         assert rank_error(x.astype(np.float32).astype(float), whole[0][name], q) <= whole[0]["rank_error"] + 1 / 5000
     assert all(r["rank_error"] <= 0.2 for r in rows)
+    again = percentile_bounds(f.repartition(7), c, 2, k=64, chunk_rows=512).collect()
+    assert sorted(map(tuple, again), key=repr) == sorted(map(tuple, rows), key=repr)
     assert percentile_bounds(f.where("false"), c, 2, chunk_rows=512).count() == 0

@@ -56,3 +56,36 @@ def test_linkages_and_gaps():
     assert agglomerate(np.zeros((0, 1)), 0.5).tolist() == []
     with pytest.raises(ValueError):
         agglomerate(v, 0.5, linkage="other")
+
+
+def test_stretches_over_slices_keep_gaps_and_totals(spark, frames):
+    v = [[0.0, 0.0]] * 40
+    times = [k / 10 if k < 17 else k / 10 + 5 for k in range(40)]
+    got = found(frames(v, times=times), chunk=8, max_gap=1.0)
+    assert sorted(got) == [(0, 16), (17, 39)] and {r["kept_rows"] for r in got.values()} == {2}
+    assert sorted(found(frames(v, times=times), chunk=8)) == [(0, 39)]
+    assert found(frames(v, times=[None] * 40), max_gap=1.0) == {}
+
+
+def test_late_rows_in_other_files_stay_in_their_stretch(spark, frames, tmp_path):
+    """Rows that lie in another file are brought to their slice even where the planner would leave out the shuffle."""
+    f = frames([[0.0, 0.0]] * 30)
+    f.where("global_index % 7 != 3").write.parquet(str(tmp_path / "a"))
+    f.where("global_index % 7 = 3").write.parquet(str(tmp_path / "b"))
+    f = spark.read.parquet(str(tmp_path / "a")).unionByName(spark.read.parquet(str(tmp_path / "b")))
+    assert sorted(found(f)) == [(0, 29)]
+
+
+def test_centroid_linkage_equals_brute_force():
+    rng = np.random.default_rng(12)
+    for _ in range(20):
+        v = np.cumsum(rng.normal(0, 0.3, (30, 2)), axis=0)
+        runs = [[i] for i in range(len(v))]
+        mean = lambda r: v[r].mean(axis=0)
+        while True:
+            d = [np.abs(mean(a) - mean(b)).max() for a, b in zip(runs, runs[1:])]
+            if not d or min(d) > 0.5:
+                break
+            k = int(np.argmin(d))
+            runs[k : k + 2] = [runs[k] + runs[k + 1]]
+        assert agglomerate(v, 0.5, linkage="centroid").tolist() == [r[0] for r in runs]
