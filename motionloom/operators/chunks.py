@@ -86,7 +86,7 @@ def in_slices(rows: DataFrame, *keys: str, order: str = "ord", arrival: str = "r
     ``repartition`` behind a join does not: it is taken out as redundant and the join below may then be run without
     its shuffle.
     """
-    by = Window.partitionBy(*keys).orderBy(order, arrival)
+    by = Window.partitionBy(*keys).orderBy(order, F.col(arrival).asc_nulls_last())
     return rows.withColumn("_again", F.lag(order).over(by).eqNullSafe(F.col(order))).where(~F.col("_again")).drop("_again", arrival)
 
 

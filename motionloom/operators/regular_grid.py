@@ -9,7 +9,7 @@ Entities are cut into blocks of ``BLOCK_SLOTS`` cells; readings of the last ``ce
 are also sent to the next block, so a block is computed on its own and no entity is a single task.
 
 Defined results: readings without entity, order key or finite time are ignored; an entity without a positive
-finite rate gives no cells; an empty input gives no cells; a repeated order key counts once; readings at one
+finite rate gives no cells; an empty input gives no cells; a repeated order key counts once, the one received first; readings at one
 instant share it (all but the last have an empty interval, which still fills the cell); null, NaN and infinite
 components have no weight in their average, and an average without weight is null. Columns other than those
 named are not read, so extra or clashing columns do no harm.
@@ -44,6 +44,7 @@ def regular_grid(
     time: str = "t",
     values: str = "state",
     rate: str = "fps",
+    received: str = "received_at",
 ) -> DataFrame:
     """Cells ``(entity, slot, n_readings, coverage, status, series)`` from 0 to each entity's last filled cell.
 
@@ -57,7 +58,7 @@ def regular_grid(
     comps = [f"_v{i}" for i in range(width)]
     vals = [F.get(F.col(values), F.lit(i)).cast("double").alias(c) for i, c in enumerate(comps)]
     r = readings.where(F.col(entity).isNotNull() & F.col(order).isNotNull() & finite(F.col(time)))
-    r = r.select(F.col(entity).alias("_e"), F.col(order).alias("_o"), F.col(time).cast("double").alias("_t"), *vals)
+    r = r.select(F.col(entity).alias("_e"), F.col(order).alias("_o"), F.col(time).cast("double").alias("_t"), F.col(received).alias("_rec"), *vals)
     known = rates.where(finite(F.col(rate)) & (F.col(rate) > 0)).select(F.col(entity).alias("_e"), F.col(rate).cast("double").alias("_rate"))
 
     whole = Window.partitionBy("_e")
@@ -69,7 +70,7 @@ def regular_grid(
     rows = (
         r.withColumn("chunk", chunk_of(F.col("_o"), chunk_rows))
         .join(spans.select("_e", "chunk", "_t0", "_rate", "_last"), ["_e", "chunk"])
-        .select("_e", "_o", "_last", tau.alias("_tau"), F.rint(tau).cast("long").alias("_slot"), *comps)
+        .select("_e", "_o", "_last", tau.alias("_tau"), F.rint(tau).cast("long").alias("_slot"), "_rec", *comps)
     )
     own = F.floor(F.col("_slot") / F.lit(block_slots)).cast("long")
     late = F.col("_slot") - own * F.lit(block_slots) >= block_slots - halo
@@ -79,19 +80,20 @@ def regular_grid(
         spans.where(F.col("_last").isNotNull())
         .select("_e", "_last")
         .distinct()
-        .select("_e", F.lit(None).cast("long").alias("_o"), "_last", F.lit(None).cast("double").alias("_tau"), F.lit(None).cast("long").alias("_slot"), *[F.lit(None).cast("double").alias(c) for c in comps], F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("_last") / F.lit(block_slots)).cast("long"))).alias("_block"))
+        .select("_e", F.lit(None).cast("long").alias("_o"), "_last", F.lit(None).cast("double").alias("_tau"), F.lit(None).cast("long").alias("_slot"), F.lit(None).cast(dict(readings.dtypes)[received]).alias("_rec"), *[F.lit(None).cast("double").alias(c) for c in comps], F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("_last") / F.lit(block_slots)).cast("long"))).alias("_block"))
         .withColumn("_edge", F.lit(True))
     )
     rows = rows.unionByName(edges).repartition("_e", "_block")
 
-    in_time = Window.partitionBy("_e", "_block").orderBy("_edge", "_tau", "_o")
-    rows = rows.withColumn("_same", F.lag("_o").over(in_time).eqNullSafe(F.col("_o")) & ~F.col("_edge")).withColumn("_next", F.lead("_tau").over(in_time))
+    in_time = Window.partitionBy("_e", "_block").orderBy("_edge", "_tau", "_o", F.col("_rec").asc_nulls_last())
+    rows = rows.withColumn("_same", F.lag("_o").over(in_time).eqNullSafe(F.col("_o")) & ~F.col("_edge"))
+    rows = rows.where(~F.col("_same")).withColumn("_next", F.lead("_tau").over(in_time))  # of rows that count, so a repeated row ends no interval
     first = F.col("_block") * F.lit(block_slots)
     final = F.least(first + F.lit(block_slots - 1), F.col("_last"))
     until = F.least(F.coalesce(F.col("_next"), F.lit(float("inf"))), F.col("_tau") + F.lit(float(hold)))
     reached = F.least(F.greatest(F.ceil(until - F.lit(0.5)).cast("long"), F.col("_slot")), final)
     touched = F.when(F.col("_edge"), F.array_distinct(F.array(first, final))).when(reached >= F.greatest(F.col("_slot"), first), F.sequence(F.greatest(F.col("_slot"), first), reached))
-    cells = rows.where(~F.col("_same")).withColumn("_until", until).select("_e", "_block", "_edge", "_tau", "_slot", "_until", *comps, F.explode(touched).alias("slot"))
+    cells = rows.withColumn("_until", until).select("_e", "_block", "_edge", "_tau", "_slot", "_until", *comps, F.explode(touched).alias("slot"))
     half = F.lit(0.5)
     weight = F.greatest(F.least(F.col("_until"), F.col("slot") + half) - F.greatest(F.col("_tau"), F.col("slot") - half), F.lit(0.0))
     cells = cells.withColumn("_w", F.when(F.col("_edge"), F.lit(0.0)).otherwise(weight))

@@ -266,7 +266,7 @@ def _survey(batches: Iterator[pa.RecordBatch], fields: tuple[str, ...], width: i
                 ch_out += [fi * width + c] * len(drawn)
                 reading_out += seen.tolist()
         if src_out:
-            yield pa.RecordBatch.from_pydict({"source": pa.array(src_out, pa.string()), "channel": pa.array(ch_out, pa.int32()), "bin": pa.nulls(len(src_out), pa.int32()), "n": pa.nulls(len(src_out), pa.int64()), "reading": pa.array(reading_out, pa.list_(pa.float64()))})
+            yield pa.RecordBatch.from_pydict({"source": pa.array(src_out, pa.string()), "channel": pa.array(ch_out, pa.int32()), "bin": pa.nulls(len(src_out), pa.int32()), "n": pa.array(np.ones(len(src_out), np.int64)), "reading": pa.array(reading_out, pa.list_(pa.float64()))})
     src, ch, bins, n = [], [], [], []
     for (name, channel), counts in hist.items():
         at = np.flatnonzero(counts)
@@ -299,8 +299,9 @@ def _fit_source(pdf: pd.DataFrame, channels: int, seed: int) -> pd.DataFrame:
     scale = np.where(np.isnan(scale), known.max() if len(known) else 1.0, scale)
     drawn = pdf[pdf["reading"].notna()]
     if len(drawn):
-        ch = drawn["channel"].to_numpy()
-        r = np.array(drawn["reading"].tolist(), float)
+        times = drawn["n"].to_numpy().astype(np.int64)
+        ch = np.repeat(drawn["channel"].to_numpy(), times)
+        r = np.repeat(np.array(drawn["reading"].tolist(), float), times, axis=0)
         x = gridded(*r.T, scale[ch])
         x = x[np.lexsort((*np.delete(x, SEASONAL, axis=1).T, x[:, SEASONAL]))]
         x = x[: max(1, len(x) - int(np.ceil(TRIM * len(x))))]

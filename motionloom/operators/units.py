@@ -1,19 +1,27 @@
 """Quantities recorded in different units (problem 6).
 
-A hidden Markov model per device (robot and quantity): the hidden state is the unit, transitions are sticky, and a
-reading's log magnitude, brought to the common unit by the state, is compared with a smooth level of the device;
-Viterbi decodes the units. What is said about a reading's unit enters the emission: the first of note, number text,
-unit field and the device's declaration that names a unit of the quantity outweighs level and transitions, so the
-decoded unit is the stated one wherever there is a statement, and readings without any are decoded from the log
-jumps against the level.
+Two hidden Markov models per device (robot and quantity), both decoded by Viterbi against a smooth level, the running
+median of the device's log magnitudes in the common unit:
+
+* Readings that say something: the states are "as stated" and, per unit, "in this unit whatever is stated". A note about
+  the value or a unit beside its number belongs to the reading itself and holds in every state. A bare unit field or the
+  device's declaration is weaker: it costs ``UNIT_WEIGHT`` or ``DECLARED_WEIGHT`` a reading to go against it and ``ENTER``
+  to begin, while a reading that does not fit the level costs up to ``FLOOR``. So a statement is overruled where the level
+  jumps for a stretch of readings and another unit fits them, and never by a single reading; ``overruled`` names it.
+* Readings about whose unit nothing is said at all: the states are the units, transitions are sticky, and the log jumps
+  against the level decide.
+
+How far a magnitude may lie from the level is taken from the device's own spread.
 
 Devices are cut into blocks of about ``BLOCK_READINGS`` readings by time, each with a short lead-in from the block
-before, so a device that holds a third of all readings is not one task.
+before, so a device that holds a third of all readings is not one task. What the texts say is looked up once for each
+distinct text of a block.
 
 Defined results: repeated rows count once; a reading without a number in ``value`` or ``value_text`` (null, NaN,
 infinite, no digits) has a null common value; a reading whose quantity is unknown is left out; readings without a
 robot form a device of their own without declaration; zero values carry no level; statements that name a unit of
-another quantity, or a number with a unit inside a remark, say nothing; an empty input gives no rows.
+another quantity, or a number with a unit inside a remark, say nothing; a device without any statement has no level and
+its readings count as recorded in the common unit; an empty input gives no rows.
 """
 
 from __future__ import annotations
@@ -21,7 +29,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -70,8 +78,12 @@ _CUE = re.compile(r"(?<![\w])(?:" + "|".join(re.escape(c) for c in sorted(CUES,
 BLOCK_READINGS = 50_000
 LEAD_IN = 64
 MAX_DEVICES = 100_000
-STICKY, SWITCH, SPREAD, FLOOR, STATED, DECLARED = -0.05, -4.0, 1.0, -12.0, 400.0, 200.0
-LEVEL_RATE = 0.1
+#: Costs in nats: of leaving "as stated", of returning to it, of a change between units, of going against a statement,
+#: and the most that a magnitude off the level costs.
+ENTER, RETURN, SWITCH, UNIT_WEIGHT, DECLARED_WEIGHT, FLOOR = 24.0, 4.0, 4.0, 2.5, 1.0, 6.0
+#: The level is the median of so many readings on both sides, taken every so many readings.
+LEVEL_SIDE, LEVEL_STEP = 512, 64
+LEAST_SPREAD, MOST_SPREAD = 0.5, 2.0
 
 
 @lru_cache(maxsize=100_000)
@@ -119,75 +131,117 @@ def text_code(text: str | None, quantity: str) -> str | None:
     return unit_code(text[m.end() :], quantity) if m else None
 
 
-def decode(levels: np.ndarray, evidence: list[tuple[str | None, float]], codes: list[str], shifts: list[float]) -> list[int]:
-    """Viterbi path of one block: ``levels`` are log magnitudes as recorded (NaN: none)."""
-    k = len(codes)
-    best, back = [0.0] * k, []
-    level = None
-    for v, (said, weight) in zip(levels.tolist(), evidence):
-        emit = [0.0] * k
-        if v == v and level is not None:
-            emit = [max(FLOOR, -0.5 * ((v + s - level) / SPREAD) ** 2) for s in shifts]
-        if said is not None:
-            emit[codes.index(said)] += weight
-        frm, nxt = [], []
-        top = max(range(k), key=best.__getitem__)
-        for j in range(k):
-            stay, move = best[j] + STICKY, best[top] + SWITCH
-            frm.append(j if stay >= move else top)
-            nxt.append(max(stay, move) + emit[j])
-        back.append(frm)
-        peak = max(nxt)
-        best = [b - peak for b in nxt]
-        if v == v:
-            now = v + shifts[max(range(k), key=best.__getitem__)]
-            level = now if level is None else level + LEVEL_RATE * (now - level)
-    path = [0] * len(back)
-    j = max(range(k), key=best.__getitem__) if back else 0
-    for i in range(len(back) - 1, -1, -1):
-        path[i] = j
-        j = back[i][j]
+def smooth_level(logs: np.ndarray) -> tuple[np.ndarray, float]:
+    """Running median of log magnitudes (NaN: none) and their robust spread around it."""
+    n = len(logs)
+    seen = np.isfinite(logs)
+    if not seen.any():
+        return np.full(n, np.nan), 1.0
+    where = np.flatnonzero(seen)
+    centres = where[np.unique(np.append(np.arange(0, len(where), LEVEL_STEP), len(where) - 1))]
+    rank = np.searchsorted(where, centres)
+    medians = [np.median(logs[where[max(0, r - LEVEL_SIDE) : r + LEVEL_SIDE + 1]]) for r in rank.tolist()]
+    level = np.interp(np.arange(n), centres, medians)
+    spread = 1.4826 * float(np.median(np.abs(logs[where] - level[where])))
+    return level, min(max(spread, LEAST_SPREAD), MOST_SPREAD)
+
+
+def viterbi(emit: np.ndarray, move: np.ndarray) -> np.ndarray:
+    """Best state sequence for log emissions ``[n, k]`` and log transitions ``[k, k]``."""
+    n, k = emit.shape
+    back = np.zeros((n, k), np.int64)
+    best = emit[0] + (move[0] if n else 0.0)
+    for i in range(1, n):
+        through = best[:, None] + move
+        back[i] = through.argmax(axis=0)
+        best = through.max(axis=0) + emit[i]
+    path = np.zeros(n, np.int64)
+    path[-1] = best.argmax()
+    for i in range(n - 1, 0, -1):
+        path[i - 1] = back[i, path[i]]
     return path
 
 
-UNIT_SCHEMA = "reading_id long, robot_id string, quantity string, unit string, stated_by string, number double, common_value double"
+def decode(logs: np.ndarray, own: np.ndarray, weak: np.ndarray, declared: np.ndarray, shifts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unit of each reading of one block, and which readings' statements were overruled.
+
+    ``logs`` are log magnitudes as recorded (NaN: none); ``own`` is the unit a reading itself states, ``weak`` the one its
+    unit field or declaration names (-1: none), ``declared`` tells which of the latter are declarations.
+    """
+    n, k = len(logs), len(shifts)
+    stated = np.where(own >= 0, own, weak)
+    level, spread = smooth_level(np.where(stated >= 0, logs + shifts[np.maximum(stated, 0)], np.nan))
+    with np.errstate(invalid="ignore"):
+        fit = np.maximum(-FLOOR, -0.5 * ((logs[:, None] + shifts[None, :] - level[:, None]) / spread) ** 2)
+    fit = np.where(np.isnan(fit), 0.0, fit)
+    unit, overruled = stated.copy(), np.zeros(n, bool)
+
+    told = np.flatnonzero((own < 0) & (weak >= 0))
+    if len(told):
+        as_said = fit[told, weak[told]]
+        against = np.where(declared[told], DECLARED_WEIGHT, UNIT_WEIGHT)[:, None] * (np.arange(k)[None, :] != weak[told][:, None])
+        other = fit[told] - against
+        # No stretch can pay for leaving "as stated" unless the best gain over a stretch reaches the costs of leaving it.
+        gain = np.concatenate([[0.0], np.cumsum(other.max(axis=1) - as_said)])
+        if (gain - np.minimum.accumulate(gain)).max() > ENTER:
+            move = np.full((k + 1, k + 1), -SWITCH)
+            np.fill_diagonal(move, 0.0)
+            move[0, 1:], move[1:, 0] = -ENTER, -RETURN
+            path = viterbi(np.concatenate([as_said[:, None], other], axis=1), move)
+            gone = path > 0
+            overruled[told[gone]] = weak[told[gone]] != path[gone] - 1
+            unit[told[gone]] = path[gone] - 1
+
+    silent = np.flatnonzero(stated < 0)
+    if len(silent):
+        move = np.full((k, k), -SWITCH)
+        np.fill_diagonal(move, 0.0)
+        unit[silent] = viterbi(fit[silent], move)
+    return unit, overruled
+
+
+UNIT_SCHEMA = "reading_id long, robot_id string, quantity string, unit string, stated_by string, overruled string, number double, common_value double"
+
+
+def _looked_up(column: pa.ChunkedArray, look: Callable[[str | None], float]) -> np.ndarray:
+    """A function of the texts of a column, called once for each distinct text."""
+    code = column.combine_chunks().dictionary_encode()
+    code = code.combine_chunks() if isinstance(code, pa.ChunkedArray) else code
+    table = np.array([look(v) for v in code.dictionary.to_pylist()] + [look(None)], float)
+    return table[code.indices.fill_null(len(table) - 1).to_numpy(zero_copy_only=False)]
 
 
 def _decode_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for t in whole_groups(batches, ["gid"], 5_000):
         starts = group_starts(t, ["gid"]).tolist() + [t.num_rows]
-        cols = {c: t.column(c).to_pylist() for c in ("reading_id", "robot_id", "quantity", "unit", "value_text", "note", "declared", "lead_in")}
-        value = floats(t, "value")
-        out: dict[str, list] = {c: [] for c in ("reading_id", "robot_id", "quantity", "unit", "stated_by", "number", "common_value")}
         for a, b in zip(starts, starts[1:]):
-            quantity = cols["quantity"][a]
-            factors = UNITS[quantity]
-            codes = list(factors)
-            numbers, evidence, by = [], [], []
-            for i in range(a, b):
-                x = value[i]
-                numbers.append(float(x) if math.isfinite(x) else number_of(cols["value_text"][i]))
-                said, who = None, None
-                for who, said in (("note", note_code(cols["note"][i], quantity)), ("value_text", text_code(cols["value_text"][i], quantity)), ("unit", unit_code(cols["unit"][i], quantity)), ("declaration", unit_code(cols["declared"][i], quantity))):
-                    if said is not None:
-                        break
-                by.append(who if said is not None else "level")
-                evidence.append((said, DECLARED if who == "declaration" else STATED))
-            logs = np.array([math.log(abs(x)) if x else math.nan for x in numbers])
-            path = decode(logs, evidence, codes, [math.log(f) for f in factors.values()])
-            for i, j in zip(range(a, b), path):
-                if cols["lead_in"][i]:
-                    continue
-                x = numbers[i - a]
-                out["reading_id"].append(cols["reading_id"][i])
-                out["robot_id"].append(cols["robot_id"][i])
-                out["quantity"].append(quantity)
-                out["unit"].append(codes[j])
-                out["stated_by"].append(by[i - a])
-                out["number"].append(x)
-                out["common_value"].append(None if x is None else x * factors[codes[j]])
-        types = {"reading_id": pa.int64(), "number": pa.float64(), "common_value": pa.float64()}
-        yield pa.RecordBatch.from_pydict({c: pa.array(v, types.get(c, pa.string())) for c, v in out.items()})
+            yield _decode_block(t.slice(a, b - a))
+
+
+def _decode_block(t: pa.Table) -> pa.RecordBatch:
+    quantity = t.column("quantity")[0].as_py()
+    codes = list(UNITS[quantity])
+    factors = np.array(list(UNITS[quantity].values()))
+    number_or_nan = lambda text: math.nan if (x := number_of(text)) is None else x
+    value = floats(t, "value")
+    x = np.where(np.isfinite(value), value, _looked_up(t.column("value_text"), number_or_nan))
+    place = lambda code: -1 if code is None else codes.index(code)
+    looks = {"note": note_code, "value_text": text_code, "unit": unit_code, "declared": unit_code}
+    note, text, field, declared = (_looked_up(t.column(c), lambda v, f=f: place(f(v, quantity))).astype(np.int64) for c, f in looks.items())
+    own = np.where(note >= 0, note, text)
+    weak = np.where(field >= 0, field, declared)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        logs = np.where(x != 0, np.log(np.abs(x)), np.nan)
+    unit, overruled = decode(logs, own, weak, field < 0, np.log(factors))
+    unit = np.maximum(unit, 0)
+    by = np.select([note >= 0, text >= 0, overruled, field >= 0, declared >= 0], ["note", "value_text", "level", "unit", "declaration"], "level")
+    names = np.array([*codes, None], object)
+    keep = ~t.column("lead_in").combine_chunks().to_numpy(zero_copy_only=False).astype(bool)
+    out = {
+        "reading_id": t.column("reading_id").combine_chunks(), "robot_id": t.column("robot_id").combine_chunks(), "quantity": pa.array([quantity] * len(x), pa.string()), "unit": pa.array(names[unit], pa.string()), "stated_by": pa.array(by.tolist(), pa.string()),
+        "overruled": pa.array(names[np.where(overruled, weak, len(codes))], pa.string()), "number": pa.array(x, from_pandas=True), "common_value": pa.array(x * factors[unit], from_pandas=True),
+    }
+    return pa.RecordBatch.from_pydict(out).filter(pa.array(keep))
 
 
 def _quantity(representation: str, control_type: str):  # noqa: ANN202
@@ -198,7 +252,7 @@ def _quantity(representation: str, control_type: str):  # noqa: ANN202
 
 
 def common_units(readings: DataFrame, semantics: DataFrame, block_readings: int = BLOCK_READINGS) -> DataFrame:
-    """Readings with decoded unit and common value: ``(reading_id, robot_id, quantity, unit, stated_by, number, common_value)``."""
+    """Readings with decoded unit and common value: ``(reading_id, robot_id, quantity, unit, stated_by, overruled, number, common_value)``."""
     known = list(UNITS)
     quantity = _quantity("representation", "control_type")
     r = readings.select("reading_id", "robot_id", "episode_index", "unit", "value", "value_text", "note", F.col("read_at").cast("timestamp").alias("read_at"), quantity.alias("quantity"), "representation", "control_type")

@@ -17,23 +17,29 @@ JOINTS = 7
 
 
 def p1_grid(spark: SparkSession, folder: str) -> DataFrame:
-    """The regular series of every episode whose robot asks for a uniform clock."""
+    """The regular series of every episode whose robot asks for a uniform clock, one column per component of the state."""
+    series = [F.round(F.get("series", F.lit(i)), 6).alias(f"v{i}") for i in range(STATE_WIDTH)]
+    return _p1_cells(spark, folder, STATE_WIDTH).select("episode_index", "slot", "n_readings", F.round("coverage", 6).alias("coverage"), "status", *series)
+
+
+def _p1_cells(spark: SparkSession, folder: str, width: int) -> DataFrame:
     settings = episode_settings(table(spark, folder, "episodes"), table(spark, folder, "robots"), table(spark, folder, "quality_thresholds"), ("require_uniform_dt",))
-    return regular_grid(table(spark, folder, "frames"), settings.where("require_uniform_dt"), width=STATE_WIDTH)
+    return regular_grid(table(spark, folder, "frames"), settings.where("require_uniform_dt"), width=width)
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     """The cells that no reading fills."""
-    return p1_grid(spark, folder).where(F.col("n_readings") == 0).select("episode_index", "slot")
+    return _p1_cells(spark, folder, 0).where(F.col("n_readings") == 0).select("episode_index", "slot")
 
 
 def p1_coverage(spark: SparkSession, folder: str) -> DataFrame:
-    """Per episode: cells, observed cells and the mean covered fraction."""
-    g = p1_grid(spark, folder)
+    """Per episode: cells, observed cells, readings and the mean covered fraction."""
+    g = _p1_cells(spark, folder, 0)
     return g.groupBy("episode_index").agg(
         F.count(F.lit(1)).alias("n_slots"),
         F.sum((F.col("n_readings") > 0).cast("long")).alias("n_observed"),
         F.sum("n_readings").alias("n_readings"),
+        F.round(F.avg("coverage"), 6).alias("coverage"),
     )
 
 
@@ -72,7 +78,19 @@ def p5_snapshots(spark: SparkSession, folder: str) -> DataFrame:
 
 def p6_units(spark: SparkSession, folder: str) -> DataFrame:
     """Every sensor reading with its unit and its value in the common unit."""
-    return common_units(table(spark, folder, "sensor_readings"), table(spark, folder, "physical_semantics"))
+    out = common_units(table(spark, folder, "sensor_readings"), table(spark, folder, "physical_semantics"))
+    return out.withColumns({"number": F.round("number", 10), "common_value": F.round("common_value", 10)})
+
+
+def p6_masked(spark: SparkSession, folder: str) -> DataFrame:
+    """How well the level alone tells the unit: an eighth of the readings is stripped of all statements and decoded, and compared with what was stated."""
+    readings, semantics = table(spark, folder, "sensor_readings"), table(spark, folder, "physical_semantics")
+    hidden = F.pmod(F.xxhash64("reading_id"), F.lit(8)) == 0
+    bare = {"unit": F.when(~hidden, F.col("unit")), "note": F.when(~hidden, F.col("note")), "value_text": F.when(hidden, F.regexp_extract("value_text", r"[-+−]?\d[\d.,]*", 0)).otherwise(F.col("value_text"))}
+    decoded = common_units(readings.withColumns(bare), semantics.where(F.lit(False)))
+    truth = common_units(readings, semantics).select("reading_id", F.col("unit").alias("recorded"))
+    both = decoded.where((F.col("stated_by") == "level") & hidden & (F.col("common_value") != 0)).select("reading_id", "quantity", "unit").join(truth, "reading_id")
+    return both.groupBy("quantity", "recorded").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("unit") == F.col("recorded")).alias("right"))
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -81,7 +99,7 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return p6_units(spark, folder).where(F.col("number").isNotNull() & ~F.col("unit").isin(common)).select("reading_id", "unit").distinct()
 
 
-QUERIES = {"p1_found": p1_found, "p1_grid": p1_grid, "p1_coverage": p1_coverage, "p3_found": p3_found, "p3_flags": p3_flags, "p5_found": p5_found, "p5_snapshots": p5_snapshots, "p6_found": p6_found, "p6_units": p6_units}
+QUERIES = {"p1_found": p1_found, "p1_grid": p1_grid, "p1_coverage": p1_coverage, "p3_found": p3_found, "p3_flags": p3_flags, "p5_found": p5_found, "p5_snapshots": p5_snapshots, "p6_found": p6_found, "p6_units": p6_units, "p6_masked": p6_masked}
 
 _DEDUP = """
 f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY global_index ORDER BY received_at) AS _rn FROM frames) WHERE _rn = 1),
@@ -97,6 +115,19 @@ g AS (SELECT episode_index, unnest(range(0, max(slot) + 1)) AS slot FROM s GROUP
 c AS (SELECT g.episode_index, g.slot, coalesce(s.n, 0) AS n_readings FROM g LEFT JOIN s USING (episode_index, slot))
 """
 
+_WEIGHED = [f"round(sum(wt * x{i}) FILTER (WHERE wt > 0 AND isfinite(x{i})) / sum(wt) FILTER (WHERE wt > 0 AND isfinite(x{i})), 6) AS v{i}" for i in range(STATE_WIDTH)]
+_P1_CELLS = f"""WITH {_DEDUP},
+u AS (SELECT er.* FROM er JOIN (SELECT DISTINCT robot_id FROM quality_thresholds WHERE require_uniform_dt) q USING (robot_id)),
+b AS (SELECT f.episode_index, f.global_index, f.state, (f.t - min(f.t) OVER (PARTITION BY f.episode_index)) * u.fps AS tau FROM f JOIN u USING (episode_index) WHERE f.t IS NOT NULL AND isfinite(f.t)),
+i AS (SELECT *, CAST(round_even(tau, 0) AS BIGINT) AS own, CAST(round_even(max(tau) OVER (PARTITION BY episode_index), 0) AS BIGINT) AS final,
+  least(coalesce(lead(tau) OVER (PARTITION BY episode_index ORDER BY tau, global_index), tau + 2), tau + 2) AS til FROM b),
+c AS (SELECT episode_index, tau, til, own, state, unnest(range(own, greatest(own, least(final, CAST(ceil(til - 0.5) AS BIGINT))) + 1)) AS slot FROM i),
+w AS (SELECT *, greatest(least(til, slot + 0.5) - greatest(tau, slot - 0.5), 0) AS wt, {", ".join(f"CAST(state[{i + 1}] AS DOUBLE) AS x{i}" for i in range(STATE_WIDTH))} FROM c),
+s AS (SELECT episode_index, slot, count(*) FILTER (WHERE own = slot) AS n, least(sum(wt), 1.0) AS cover, {", ".join(_WEIGHED)} FROM w GROUP BY ALL),
+g AS (SELECT episode_index, unnest(range(0, max(final) + 1)) AS slot FROM i GROUP BY episode_index),
+k AS (SELECT g.episode_index, g.slot, coalesce(s.n, 0) AS n_readings, coalesce(s.cover, 0.0) AS cover, {", ".join(f"s.v{i}" for i in range(STATE_WIDTH))} FROM g LEFT JOIN s USING (episode_index, slot))
+"""
+
 _P5 = """WITH fr AS (SELECT DISTINCT global_index, received_at AS ts, task_index, episode_index FROM frames QUALIFY row_number() OVER (PARTITION BY global_index ORDER BY received_at) = 1),
 ti AS (SELECT DISTINCT * FROM task_info),
 r AS (SELECT 'frames' AS ref_table, 'task_index' AS ref_field, task_index AS key, global_index AS record_id, ts FROM fr
@@ -143,13 +174,18 @@ _SPELT = ", ".join(f"('{s}', '{code}', '{q}')" for q, codes in UNITS.items() for
 _CONTROL = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in CONTROL_QUANTITY.items())
 _QUANTITY = f"coalesce(representation, CASE control_type {_CONTROL} ELSE control_type END)"
 _PLAIN = "rtrim(regexp_replace(lower(coalesce({}, '')), '[\\s·*]', '', 'g'), '.')"
+_FACTOR = "CASE unit " + " ".join(f"WHEN '{c}' THEN {f!r}" for codes in UNITS.values() for c, f in codes.items()) + " END"
+_P6_UNITS = f""", n AS (SELECT *, CASE WHEN value IS NOT NULL AND isfinite(value) THEN value ELSE CAST(CASE WHEN t LIKE '%,%' AND strpos(reverse(t), ',') < strpos(reverse('.' || t), '.') THEN replace(replace(t, '.', ''), ',', '.') ELSE replace(t, ',', '') END AS DOUBLE) END AS x
+  FROM (SELECT *, nullif(rtrim(replace(regexp_extract(value_text, '[-+−]?[0-9][0-9.,]*', 0), '−', '-'), '.,'), '') AS t FROM u))
+SELECT reading_id, robot_id, quantity, unit, stated_by, CAST(NULL AS VARCHAR) AS overruled, round(x, 10) AS number, round(x * ({_FACTOR}), 10) AS common_value FROM n WHERE quantity IN ({", ".join(f"'{q}'" for q in UNITS)})"""
 _P6 = f"""WITH spelt(s, code, quantity) AS (VALUES {_SPELT}),
 r AS (SELECT *, {_QUANTITY} AS quantity FROM (SELECT DISTINCT * FROM sensor_readings)),
 d AS (SELECT robot_id, {_QUANTITY} AS quantity, min(unit) AS declared FROM physical_semantics WHERE modality = 'sensor' GROUP BY ALL),
 x AS (SELECT r.*, d.declared, regexp_extract(note, '^(?:.*[^a-zA-Z])?(?:logged in|sensor card prints|valores en|raw channel is|all numbers|value given in|Werte in|unit:|operator confirms) +(.+?)(?: here|[)]|, not .*)?$', 1) AS n,
   regexp_extract(value_text, '[0-9][.,0-9]* *([^0-9]?.*)$', 1) AS vt,
   (value IS NOT NULL AND isfinite(value)) OR regexp_matches(value_text, '[0-9]') AS has_number FROM r LEFT JOIN d USING (robot_id, quantity)),
-u AS (SELECT x.reading_id, x.has_number, x.quantity, coalesce(a.code, b.code, c.code, e.code) AS unit FROM x
+u AS (SELECT x.reading_id, x.robot_id, x.has_number, x.quantity, x.value, x.value_text, coalesce(a.code, b.code, c.code, e.code) AS unit,
+  CASE WHEN a.code IS NOT NULL THEN 'note' WHEN b.code IS NOT NULL THEN 'value_text' WHEN c.code IS NOT NULL THEN 'unit' WHEN e.code IS NOT NULL THEN 'declaration' ELSE 'level' END AS stated_by FROM x
   LEFT JOIN spelt a ON a.quantity = x.quantity AND a.s = {_PLAIN.format("n")}
   LEFT JOIN spelt b ON b.quantity = x.quantity AND b.s = {_PLAIN.format("vt")}
   LEFT JOIN spelt c ON c.quantity = x.quantity AND c.s = {_PLAIN.format("unit")}
@@ -158,6 +194,7 @@ u AS (SELECT x.reading_id, x.has_number, x.quantity, coalesce(a.code, b.code, c.
 
 SQL = {
     "p3_found": _P3 + _P3_FOUND,
+    "p6_units": _P6 + _P6_UNITS,
     "p6_found": _P6 + "SELECT DISTINCT reading_id, unit FROM u WHERE has_number AND unit NOT IN ('rad', 'rad/s', 'Nm', 'm', 'dimensionless')",
     "p5_found": _P5 + "SELECT ref_table, ref_field, record_id, kind FROM o",
     "p5_snapshots": _P5 + """, ev AS (SELECT ref_table, ref_field, strftime(ts, '%Y-%m') AS month, kind, 1 AS n, 0 AS r FROM o
@@ -166,5 +203,6 @@ a AS (SELECT ref_table, ref_field, month, CAST(coalesce(sum(n) FILTER (WHERE kin
   CAST(coalesce(sum(n) FILTER (WHERE kind = 'late'), 0) AS BIGINT) AS late, CAST(sum(r) AS BIGINT) AS resolved FROM ev GROUP BY ALL)
 SELECT *, CAST(sum(missing + deleted + late - resolved) OVER (PARTITION BY ref_table, ref_field ORDER BY month) AS BIGINT) AS pending FROM a""",
     "p1_found": _P1 + "SELECT episode_index, slot FROM c WHERE n_readings = 0",
-    "p1_coverage": _P1 + "SELECT episode_index, count(*) AS n_slots, count(*) FILTER (WHERE n_readings > 0) AS n_observed, CAST(sum(n_readings) AS BIGINT) AS n_readings FROM c GROUP BY episode_index",
+    "p1_grid": _P1_CELLS + f"SELECT episode_index, slot, n_readings, round(cover, 6) AS coverage, CASE WHEN n_readings > 0 THEN 'observed' WHEN cover > 0 THEN 'held' ELSE 'missing' END AS status, {', '.join(f'v{i}' for i in range(STATE_WIDTH))} FROM k",
+    "p1_coverage": _P1_CELLS + "SELECT episode_index, count(*) AS n_slots, count(*) FILTER (WHERE n_readings > 0) AS n_observed, CAST(sum(n_readings) AS BIGINT) AS n_readings, round(avg(cover), 6) AS coverage FROM k GROUP BY episode_index",
 }

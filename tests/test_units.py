@@ -1,10 +1,11 @@
 import datetime as dt
+import itertools
 import math
 
 import numpy as np
 import pytest
 
-from motionloom.operators.units import common_units, decode, note_code, number_of, text_code, unit_code
+from motionloom.operators.units import common_units, decode, note_code, number_of, text_code, unit_code, viterbi
 
 READING = "reading_id long, robot_id string, episode_index long, representation string, control_type string, unit string, value double, value_text string, note string, read_at timestamp"
 SEMANTICS = "robot_id string, modality string, component int, representation string, control_type string, unit string, periodic boolean, coordinate_frame string"
@@ -39,13 +40,47 @@ def test_common_units(spark):
     assert common_units(r.where("false"), s).count() == 0
 
 
+M = np.log([1.0, 1e-3])
+
+
+def blocks(scale, own=None, weak=0, declared=True):
+    n = len(scale)
+    true = np.exp(np.random.default_rng(4).normal(0, 0.3, n))
+    full = lambda v: np.full(n, v) if np.isscalar(v) else v
+    return decode(np.log(true * scale), full(-1) if own is None else own, full(weak), np.full(n, declared), M)
+
+
 def test_unstated_units_follow_the_level():
-    rng = np.random.default_rng(4)
-    true = np.exp(rng.normal(0, 0.1, 200))
     scale = np.where((np.arange(200) >= 80) & (np.arange(200) < 140), 1000.0, 1.0)
-    said = [("m", 400.0) if i < 5 else (None, 0.0) for i in range(200)]
-    path = decode(np.log(true * scale), said, ["m", "mm"], [0.0, math.log(1e-3)])
-    assert [int(s > 1) for s in scale] == path
+    weak = np.where(np.arange(200) < 5, 0, -1)
+    unit, _ = blocks(scale, weak=weak)
+    assert unit.tolist() == [int(s > 1) for s in scale]
+
+
+@pytest.mark.parametrize("declared", [True, False])
+def test_a_sustained_jump_overrules_a_bare_statement_and_a_single_one_does_not(declared):
+    at = np.arange(2000)
+    stretch = (at >= 800) & (at < 840)
+    unit, overruled = blocks(np.where(stretch, 1000.0, 1.0), declared=declared)
+    assert (unit == stretch).all() and (overruled == stretch).all()
+    unit, overruled = blocks(np.where(at == 900, 1000.0, 1.0), declared=declared)
+    assert not unit.any() and not overruled.any()
+
+
+def test_what_a_reading_says_itself_is_never_overruled():
+    at = np.arange(2000)
+    stretch = (at >= 800) & (at < 840)
+    own = np.where(stretch, 0, -1)
+    unit, overruled = blocks(np.where(stretch, 1000.0, 1.0), own=own)
+    assert not unit.any() and not overruled.any()
+
+
+def test_viterbi_is_the_best_path():
+    rng = np.random.default_rng(7)
+    emit, move = rng.normal(size=(6, 3)), rng.normal(size=(3, 3))
+    score = lambda p: emit[range(6), p].sum() + sum(move[a, b] for a, b in zip(p, p[1:])) + move[0, p[0]]
+    best = max(itertools.product(range(3), repeat=6), key=score)
+    assert viterbi(emit, move).tolist() == list(best)
 
 
 def test_blocks_do_not_change_stated_units(spark):
