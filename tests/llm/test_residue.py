@@ -1,7 +1,9 @@
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from motionloom.llm.residue import judge, residue
+from motionloom.llm.residue import Recurrent, _verdicts, hashed, judge, residue
 
 CASES = {
     "placeholder": ["Dear {{ name }}, your take ${id} is ready.", "Task: [TODO: robot id]", "Summary of __FPS__.", "Keep it below <TASK_NAME> now.", "任务：%(fps)s，操作员：XXXX。", "Ok {task_name} done", "<insert next step> soon", "see [[operator]] and @@fps@@ or <%= x %>"],
@@ -19,12 +21,12 @@ KEPT = [
 
 @pytest.mark.parametrize("verdict,text", [(v, t) for v, ts in CASES.items() for t in ts])
 def test_cases(verdict, text):
-    assert judge(text, "h")[0] == verdict
+    assert judge(text)[0] == verdict
 
 
 @pytest.mark.parametrize("text", KEPT)
 def test_kept(text):
-    assert judge(text, "h")[0] is None
+    assert judge(text)[0] is None
 
 
 def test_long_lines_are_weighed_by_clauses():
@@ -33,9 +35,38 @@ def test_long_lines_are_weighed_by_clauses():
     script = "This viewer needs JavaScript, JavaScript is disabled in this browser, please enable JavaScript for the player, " * 3
     sign_in = "Please sign in to see the report, you must log in first, you do not have the permission to see this take, " * 3
     for text, verdict in ((body, "error"), (trace, "error"), (script, "script"), (sign_in, "sign_in")):
-        assert len(text) > 240 and judge(text, "h")[0] == verdict
+        assert len(text) > 240 and judge(text)[0] == verdict
     prose = "The crew moved the ring to the left shelf and lowered the arm while the second camera watched the tray, " * 4
-    assert judge(prose + "the viewer could not load the take, " + prose, "h")[0] is None
+    assert judge(prose + "the viewer could not load the take, " + prose)[0] is None
+
+
+# Wordings that are neither in the patterns' sources nor among the labelled sentences.
+UNSEEN = [
+    "An unexpected error occurred.", "Error establishing a database connection", "Just a moment... Checking your browser", "Service Temporarily Unavailable", "Veuillez activer JavaScript.", "Dear [First Name],", "Hello %NAME%", "INSERT TEXT HERE",
+    "Nullam quis risus eget urna mollis ornare vel eu leo.", "Subscribe to read the full article.", "We're sorry, but something broke on our end.", "HTTP Error 502", "Please turn JavaScript on and reload the page.", "You have been logged out.", "This content is available to subscribers only.",
+    "Sorry, you are not allowed to access this page.", "The website is under maintenance.", "Request failed with status code 500", "Unable to connect to server", "Leider ist ein Fehler aufgetreten.", "Debe iniciar sesión.", "Your browser has JavaScript disabled.", "Please log in to your account to view this thread.", "Sorry, this page isn't available.",
+    "This site can't run without JavaScript.", "The server is currently unable to handle the request.", "You must be a member to read this post.", "La página solicitada no existe.", "Sie müssen angemeldet sein, um diese Seite zu sehen.", "您没有权限访问此页面。", "请开启JavaScript后刷新页面。", "Hi ${first_name}, welcome back!", "Sed ut dolor sit amet, consectetur adipiscing elit.", "Dear [Customer Name],", "503 Service Unavailable",
+]
+REAL = [
+    "The gripper did not answer for a second.", "The cable could not be opened by hand.", "The XXXX series motors are quiet.", "We asked for permission and got it.", "The recorder needs a script for each station.", "Error bars show one standard deviation.", "The operator could not load the tray.", "Nobody had found the page with the drawing.", "Der Roboter stand still.",
+    "La cámara no vio el aro.", "机器人停在桌子旁边。", "Sorting took longer than planned because two cups were missing.", "The wrist camera was moved to a new stand.", "The visitors signed the book and went to the hall.", "The error grew with the speed of the belt.", "He lost access to the lab when the contract ended.", "The play has a script of ninety pages.", "Maintenance took two hours and went well.",
+    "The magazine has many subscribers in the north.", "Open the page with the wiring plan and follow the red line.", "The part is available in three sizes.", "Two of the five requests came from the same crew.", "The brown fox lay in the sun.", "Take 404 was the best of the day.", "See [Table 2](tables.md) for the limits.", "The load fell by 30% and the speed by 20%.", "Der Deckel ging nicht auf, also haben wir ihn ersetzt.", "El robot no pudo cerrar la caja.", "这个零件已经用完了。", "A server brought the soup to the table.",
+]
+
+
+def test_unseen_wordings():
+    found = [judge(t)[0] is not None for t in UNSEEN]
+    wrong = [judge(t)[0] is not None for t in REAL]
+    assert sum(found) >= 0.9 * len(UNSEEN), [t for t, f in zip(UNSEEN, found) if not f]
+    assert sum(found) >= 0.9 * (sum(found) + sum(wrong)), [t for t, f in zip(REAL, wrong) if f]
+
+
+def test_batches_judge_as_single_texts():
+    texts = [t for ts in CASES.values() for t in ts] + UNSEEN + REAL + KEPT
+    common = np.sort(np.array([hashed("w", w) for t in REAL + UNSEEN for w in (t or "").lower().split()], np.int64))
+    b = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string()), "host": pa.array([None] * len(texts), pa.string())})
+    words = Recurrent("w", common)
+    assert _verdicts(b, common, np.zeros(0, np.int64)) == [judge(t, words=words)[0] for t in texts]
 
 
 def test_corpus_boilerplate_and_gibberish(spark):
