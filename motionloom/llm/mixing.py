@@ -6,7 +6,11 @@ tokens ``r * block`` to ``(r + 1) * block`` of the source's shuffled token strea
 most. So every prefix of the mix holds the shares up to a few blocks. Slots beyond what a source can give stay
 empty and show in the report.
 
-Ranks and token positions are prefix sums in two levels (chunks of slots, hash ranges of documents), so neither a
+A source is reported short if its scheduled slots, give or take the schedule's discrepancy, need more than the source can
+give, and the exact token counts confirm it.
+
+Tokens are counted where the documents lie and once; repeated rows are then told by 128 bits of hash of their whole
+content, so no text is shuffled. Ranks and token positions are prefix sums in two levels (chunks of slots, hash ranges of documents), so neither a
 large source nor the schedule is one task.
 
 Defined results: repeated rows count once; documents with a null or blank source, or one without a target, take no
@@ -25,10 +29,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from motionloom.llm.tokens import VOCABULARY, with_token_counts
+from motionloom.session import checkpointed
 
 BLOCK_TOKENS = 1024
 SLOTS_PER_CHUNK = 1 << 16
 HASH_RANGES = 1024
+#: The schedule gives a source its share of the first n slots up to log2(n) + DISCREPANCY slots.
+DISCREPANCY = 3
 #: The target table is read by the driver; more sources than this are refused.
 MAX_SOURCES = 100_000
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)  # 2**64 / phi
@@ -50,10 +57,12 @@ def sources_of_slots(chunk: int, total: int, cumulative: np.ndarray) -> np.ndarr
 class Mix:
     """A planned mix: ``report()`` and ``pieces()``."""
 
-    def __init__(self, documents: DataFrame, targets: DataFrame, block: int = BLOCK_TOKENS, seed: int = 11, vocabulary: str = VOCABULARY) -> None:
+    def __init__(self, documents: DataFrame, targets: DataFrame, block: int = BLOCK_TOKENS, seed: int = 11, vocabulary: str | None = VOCABULARY) -> None:
+        """``vocabulary`` is the tokenizer's file; with None sizes are counted in code points."""
         self.spark, self.block, self.seed = documents.sparkSession, block, seed
-        docs = documents.where(F.col("doc_id").isNotNull()).distinct()
-        docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), plain_source(F.col("source")).alias("source"), "text")
+        row = [F.xxhash64(*[F.col(f"`{c}`") for c in documents.columns]), F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in reversed(documents.columns)])]
+        docs = documents.where(F.col("doc_id").isNotNull())
+        docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), plain_source(F.col("source")).alias("source"), "text", F.array(*row).alias("row"))
         per_source = targets.where(F.col("target_share").isNotNull() & (F.col("target_share") > 0)).select(plain_source(F.col("source")).alias("source"), F.col("target_share").cast("double").alias("target_share"), F.coalesce(F.greatest(F.col("max_repeats"), F.lit(0)), F.lit(0)).cast("long").alias("max_repeats"))
         per_source = per_source.where(F.col("source").isNotNull()).groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
         found = per_source.limit(MAX_SOURCES + 1).collect()
@@ -62,7 +71,9 @@ class Mix:
         self.targets = sorted((r["source"], r["target_share"], r["max_repeats"]) for r in found)
         names = [t[0] for t in self.targets]
         small = self.spark.createDataFrame([(n,) for n in names], "source string")
-        self.sizes = with_token_counts(docs.join(F.broadcast(small), "source", "left_semi"), path=vocabulary)  # at most MAX_SOURCES rows
+        docs = docs.join(F.broadcast(small), "source", "left_semi")  # at most MAX_SOURCES rows
+        counted = docs.select("doc_id", "source", "row", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_tokens")) if vocabulary is None else with_token_counts(docs, ("row",), path=vocabulary)
+        self.sizes = checkpointed(counted.groupBy("doc_id", "row").agg(F.first("source").alias("source"), F.first("n_tokens").alias("n_tokens")).drop("row"))
         self.available = {r["source"]: r["n"] for r in self.sizes.groupBy("source").agg(F.sum("n_tokens").alias("n")).collect()} if names else {}
         self.total = sum(self.available.values())
         self.slots = -(-self.total // block)
@@ -117,7 +128,9 @@ class Mix:
         out = known.join(slots, "source", "left").withColumn("slots", F.coalesce("slots", F.lit(0)))
         out = out.withColumn("tokens_mixed", F.least(F.col("slots") * self.block, F.col("tokens_possible")))
         out = out.withColumn("actual_share", F.try_divide(F.col("tokens_mixed").cast("double"), F.sum("tokens_mixed").over(Window.partitionBy(F.lit(1)))))  # one row per source
-        return out.withColumn("short", F.col("tokens_possible") < F.col("tokens_needed"))
+        out = out.withColumn("share_of_total", F.try_divide(F.col("tokens_mixed").cast("double"), F.lit(float(self.total))))
+        most = (F.col("slots") + F.ceil(F.log2(F.lit(float(self.slots + 1)))) + DISCREPANCY) * self.block
+        return out.withColumn("short", (most > F.col("tokens_possible")) & (F.col("tokens_possible") < F.col("tokens_needed")))
 
     def streams(self) -> DataFrame:
         """Documents with their token interval ``[start, stop)`` in their source's shuffled stream."""

@@ -16,6 +16,7 @@ from motionloom.sources.tables import table
 ACTION_WIDTH = 8
 #: Seconds between facing events that end a stretch in p2_gaps and p2_similar.
 MAX_GAP = 0.5
+CHARACTER_BLOCK = 2048
 
 
 def _events(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -85,6 +86,12 @@ def p8_mix(spark: SparkSession, folder: str) -> DataFrame:
     return _mix(spark, folder).pieces()
 
 
+def p8_characters(spark: SparkSession, folder: str) -> DataFrame:
+    """The report of a mix by code points: slots of the schedule, sizes mixed, shortness."""
+    report = Mix(table(spark, folder, "documents"), table(spark, folder, "mix_targets"), CHARACTER_BLOCK, vocabulary=None).report()
+    return report.select("source", "slots", "tokens_available", "tokens_possible", "tokens_mixed", F.round("actual_share", 6).alias("actual_share"), F.round("share_of_total", 6).alias("share_of_total"), "short")
+
+
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     """Sources that cannot reach their share."""
     return p8_report(spark, folder).where("short").select("source")
@@ -100,7 +107,7 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return p9_verdicts(spark, folder).where(F.col("verdict").isNotNull()).select("doc_id").distinct()
 
 
-QUERIES = {"p2_found": p2_found, "p2_runs": p2_runs, "p2_gaps": p2_gaps, "p2_similar": p2_similar, "p4_percentiles": p4_percentiles, "p4_rank_bounds": p4_rank_bounds, "p7_found": p7_found, "p7_passages": p7_passages, "p8_found": p8_found, "p8_report": p8_report, "p8_mix": p8_mix, "p9_found": p9_found, "p9_verdicts": p9_verdicts}
+QUERIES = {"p2_found": p2_found, "p2_runs": p2_runs, "p2_gaps": p2_gaps, "p2_similar": p2_similar, "p4_percentiles": p4_percentiles, "p4_rank_bounds": p4_rank_bounds, "p7_found": p7_found, "p7_passages": p7_passages, "p8_found": p8_found, "p8_report": p8_report, "p8_characters": p8_characters, "p8_mix": p8_mix, "p9_found": p9_found, "p9_verdicts": p9_verdicts}
 
 _P2_FRAME = """WITH f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY global_index ORDER BY received_at) AS _rn FROM frames) WHERE _rn = 1),
 e AS (SELECT episode_index, min(robot_id) AS robot_id FROM episodes GROUP BY episode_index),
@@ -135,7 +142,19 @@ k AS (SELECT *, row_number() OVER (PARTITION BY robot_id, day, component ORDER B
 _P4_FOUND = """SELECT robot_id, day, component, n, min(x) FILTER (WHERE r >= (1 - quantile) * n) AS low, min(x) FILTER (WHERE r >= 0.5 * n) AS median, min(x) FILTER (WHERE r >= quantile * n) AS high, 0.0::DOUBLE AS rank_error
 FROM k GROUP BY robot_id, day, component, n"""
 
+_PLAIN_SOURCE = "nullif(lower(regexp_replace(regexp_replace(source, '^[\\s_-]+|[\\s_-]+$', '', 'g'), '[\\s_-]+', '_', 'g')), '')"
+_P8 = f"""WITH t AS (SELECT {_PLAIN_SOURCE} AS source, max(target_share) AS share, max(max_repeats) AS repeats FROM mix_targets WHERE target_share > 0 GROUP BY 1),
+d AS (SELECT {_PLAIN_SOURCE} AS source, sum(length(text)) AS n FROM (SELECT DISTINCT * FROM documents) GROUP BY 1),
+a AS (SELECT t.*, CAST(coalesce(n, 0) AS BIGINT) AS n FROM t LEFT JOIN d USING (source)),
+z AS (SELECT CAST(sum(n) AS BIGINT) AS total, CAST(ceil(sum(n) / {CHARACTER_BLOCK}.0) AS BIGINT) AS slots FROM a),
+c AS (SELECT source, coalesce(sum(share) OVER (ORDER BY source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / sum(share) OVER () AS lo, sum(share) OVER (ORDER BY source) / sum(share) OVER () AS hi FROM a),
+p AS (SELECT CAST((((i + 1)::HUGEINT * 11400714819323198485) % 18446744073709551616::HUGEINT) // 2048 AS DOUBLE) / 9007199254740992.0 AS x FROM (SELECT unnest(range(0, slots)) AS i FROM z)),
+s AS (SELECT c.source, count(p.x) AS slots FROM c LEFT JOIN p ON p.x >= c.lo AND p.x < c.hi GROUP BY c.source),
+m AS (SELECT a.*, s.slots, least(s.slots * {CHARACTER_BLOCK}, n * repeats) AS mixed FROM a JOIN s USING (source))
+SELECT source, m.slots, n AS tokens_available, n * repeats AS tokens_possible, mixed AS tokens_mixed, round(mixed::DOUBLE / sum(mixed) OVER (), 6) AS actual_share, round(mixed::DOUBLE / total, 6) AS share_of_total, n * repeats < share * total AS short FROM m, z"""
+
 SQL = {
+    "p8_characters": _P8,
     "p4_percentiles": _P4 + _P4_FOUND,
     "p4_rank_bounds": _P4 + "SELECT robot_id, day, component, max(n) AS n, true AS low_kept, true AS median_kept, true AS high_kept FROM k GROUP BY robot_id, day, component",
     "p7_found": _P7 + "SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g)",

@@ -9,6 +9,8 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+#: Fixed value: how the byte-pair vocabulary's makers cut texts before merging.
+PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 
 
@@ -20,10 +22,6 @@ def encoder(path: str):  # noqa: ANN201
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        try:
-            from public_tokenizers import PATTERN
-        except ImportError:
-            PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         e = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         return lambda texts: [len(e.encode_ordinary(t)) for t in texts]
     if path.endswith(".json"):
@@ -38,13 +36,15 @@ def encoder(path: str):  # noqa: ANN201
     return lambda texts: [len(x) for x in p.encode(texts, num_threads=1)]
 
 
-def with_token_counts(documents: DataFrame, key: str = "doc_id", path: str = VOCABULARY) -> DataFrame:
-    """``(key, source, n_tokens)`` of documents with columns key, source and text; a null text has no tokens."""
+def with_token_counts(documents: DataFrame, extra: tuple[str, ...] = (), path: str = VOCABULARY) -> DataFrame:
+    """``(doc_id, source, *extra, n_tokens)`` of documents with these columns and text; a null text has no tokens."""
+    kept = documents.select("doc_id", "source", *extra)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = encoder(path)
         for b in batches:
             n = sizes([t or "" for t in b.column("text").to_pylist()])
-            yield pa.RecordBatch.from_arrays([b.column(key), b.column("source"), pa.array(n, pa.int64())], names=[key, "source", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(n, pa.int64())], names=[*b.schema.names[:-1], "n_tokens"])
 
-    return documents.select(key, "source", "text").mapInArrow(count, f"{key} long, source string, n_tokens long")
+    schema = ", ".join(f"{c} {t}" for c, t in kept.dtypes)
+    return documents.select(*kept.columns, "text").mapInArrow(count, f"{schema}, n_tokens long")
