@@ -3,8 +3,8 @@
 Keyed pending-orphan state: per key the parent events (begin, end) and the references are folded in time order.
 The fold carries how many parents of the key live, whether one has ended and whether the key is known at all; a
 reference met while none lives becomes a pending orphan, a later begin resolves it, an end lets later references
-become orphans again. A key's references are spread over ``SALTS`` folds, each with a copy of the key's few parent
-events, so a key that holds a third of all references is not one task.
+become orphans again. A key with more than ``FOLD_ROWS`` references is spread over as many folds as its number asks for,
+each with a copy of the key's few parent events, so a key that holds a third of all references is not one task.
 
 ``advance`` keeps the state between batches: new references are probed against the parent index, and only the
 references of keys whose parents changed are probed again (arrivals resolve, deletions reopen).
@@ -26,7 +26,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SALTS = 8
+from motionloom.session import bounded_broadcast
+
+FOLD_ROWS = 100_000
+#: Keys of more than ``FOLD_ROWS`` references are broadcast up to this many.
+MAX_HOT_KEYS = 100_000
 _KEY = ["ref_field", "key"]
 
 
@@ -46,8 +50,22 @@ def _event(at: Column, rank: int, alive: Column, ended: int) -> Column:
     return F.struct(at.alias("at"), F.lit(rank).alias("rank"), alive.alias("alive"), F.lit(ended).alias("ended"))
 
 
-def probe(refs: DataFrame, targets: DataFrame, salts: int = SALTS) -> DataFrame:
+def key_sizes(refs: DataFrame) -> DataFrame:
+    """Number of references of each key; a caller that has them cheaper may pass its own, also with repeated rows counted."""
+    return refs.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("n"))
+
+
+def with_folds(rows: DataFrame, hot: DataFrame | None, fold_rows: int) -> DataFrame:
+    """Add ``folds``: over how many folds a row's key is spread."""
+    if hot is None:
+        return rows.withColumn("folds", F.lit(1))
+    return rows.join(bounded_broadcast(hot.select(*_KEY, F.ceil(F.col("n") / F.lit(fold_rows)).cast("int").alias("_f")), MAX_HOT_KEYS), _KEY, "left").withColumn("folds", F.coalesce("_f", F.lit(1))).drop("_f")
+
+
+def probe(refs: DataFrame, targets: DataFrame, sizes: DataFrame | None = None, fold_rows: int = FOLD_ROWS) -> DataFrame:
     """Pending orphans ``(ref_table, ref_field, key, record_id, at, kind, resolved_at)`` of the references."""
+    hot = (key_sizes(refs) if sizes is None else sizes).where(F.col("n") > fold_rows)
+    hot = None if hot.isEmpty() else hot
     first = F.timestamp_micros(F.lit(-62135596800000000))
     begins = F.coalesce("begins", first)
     lives = F.col("ends").isNull() | (F.col("ends") > begins)
@@ -57,9 +75,9 @@ def probe(refs: DataFrame, targets: DataFrame, salts: int = SALTS) -> DataFrame:
         _event(begins, 1, F.when(lives, one).otherwise(none), 0),
         F.when(F.col("ends").isNotNull(), _event(F.col("ends"), 1, F.when(lives, -one).otherwise(none), 1)),
     )
-    known = targets.withColumn("_e", F.explode(F.array_compact(events))).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    known = with_folds(targets, hot, fold_rows).withColumn("_e", F.explode(F.array_compact(events))).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("folds") - 1)))
     known = known.select(*_KEY, "salt", "_e.at", "_e.rank", "_e.alive", "_e.ended", F.lit(None).cast("long").alias("record_id"), F.lit(None).cast("string").alias("ref_table"))
-    asked = refs.select(*_KEY, F.pmod(F.xxhash64("record_id"), F.lit(salts)).cast("int").alias("salt"), "at", F.lit(2).alias("rank"), none.alias("alive"), F.lit(0).alias("ended"), "record_id", "ref_table")
+    asked = with_folds(refs, hot, fold_rows).select(*_KEY, F.pmod(F.xxhash64("record_id"), F.col("folds")).cast("int").alias("salt"), "at", F.lit(2).alias("rank"), none.alias("alive"), F.lit(0).alias("ended"), "record_id", "ref_table")
     fold = Window.partitionBy(*_KEY, "salt").orderBy("at", "rank").rowsBetween(Window.unboundedPreceding, 0)
     rest = Window.partitionBy(*_KEY, "salt").orderBy(F.col("at").desc(), F.col("rank").desc()).rowsBetween(Window.unboundedPreceding, 0)
     rows = known.unionByName(asked)
@@ -78,21 +96,21 @@ class OrphanState:
     pending: DataFrame
 
 
-def advance(state: OrphanState | None, new_refs: DataFrame, new_targets: DataFrame, salts: int = SALTS) -> OrphanState:
+def advance(state: OrphanState | None, new_refs: DataFrame, new_targets: DataFrame, sizes: DataFrame | None = None, fold_rows: int = FOLD_ROWS) -> OrphanState:
     """The state after a batch.
 
     ``new_targets`` has the parents that arrived or changed; a changed parent replaces those of the same key and
     begin. The caller stores the state's frames (a table, or a checkpoint) between batches.
     """
     if state is None:
-        return OrphanState(new_targets, new_refs, probe(new_refs, new_targets, salts))
+        return OrphanState(new_targets, new_refs, probe(new_refs, new_targets, sizes, fold_rows))
     replaced = new_targets.select(*_KEY, "begins").distinct()
     on = [state.targets[c].eqNullSafe(replaced[c]) for c in (*_KEY, "begins")]
     targets = state.targets.join(replaced, on, "left_anti").unionByName(new_targets)
     changed = new_targets.select(*_KEY).distinct()
     again = state.refs.join(changed, _KEY, "left_semi").unionByName(new_refs)
     asked = again.select(*_KEY).distinct()
-    pending = state.pending.join(changed, _KEY, "left_anti").unionByName(probe(again, targets.join(asked, _KEY, "left_semi"), salts))
+    pending = state.pending.join(changed, _KEY, "left_anti").unionByName(probe(again, targets.join(asked, _KEY, "left_semi"), None, fold_rows))
     return OrphanState(targets, state.refs.unionByName(new_refs), pending)
 
 

@@ -10,6 +10,7 @@ from motionloom.operators import orphans
 from motionloom.operators.regular_grid import regular_grid
 from motionloom.operators.spikes import implausible_readings
 from motionloom.operators.units import CONTROL_QUANTITY, SPELLINGS, UNITS, common_units
+from motionloom.session import checkpointed
 from motionloom.sources.tables import table
 
 STATE_WIDTH = 8
@@ -55,14 +56,30 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return p3_flags(spark, folder).select(F.col("record_id").alias("global_index"), "field", "component").distinct()
 
 
-def _p5_state(spark: SparkSession, folder: str) -> orphans.OrphanState:
-    f = table(spark, folder, "frames")
-    once = f.groupBy("global_index").agg(F.min("received_at").alias("at"), *[F.min_by(c, "received_at").alias(c) for c in ("task_index", "episode_index")])
-    info = table(spark, folder, "task_info").distinct()
+def _p5_tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """References, targets and, over the stored rows, the number of references of each key."""
+    f, info = table(spark, folder, "frames"), table(spark, folder, "task_info")
     fields = ("task_index", "episode_index")
-    refs = orphans.references(once, "frames", "global_index", fields, "at").unionByName(orphans.references(info, "task_info", "info_id", fields, "noted_at"))
+    once = f.groupBy("global_index").agg(F.min("received_at").alias("at"), *[F.min_by(c, "received_at").alias(c) for c in fields])
+    refs = orphans.references(once, "frames", "global_index", fields, "at").unionByName(orphans.references(info.distinct(), "task_info", "info_id", fields, "noted_at"))
     targets = orphans.parents(table(spark, folder, "tasks"), "task_index", "created_at", "deleted_at").unionByName(orphans.parents(table(spark, folder, "episodes"), "episode_index", "registered_at", "withdrawn_at"))
-    return orphans.advance(None, refs, targets)
+    stored = orphans.references(f, "frames", "global_index", fields, "received_at").unionByName(orphans.references(info, "task_info", "info_id", fields, "noted_at"))
+    return refs, targets, orphans.key_sizes(stored)
+
+
+def _p5_state(spark: SparkSession, folder: str) -> orphans.OrphanState:
+    return orphans.advance(None, *_p5_tables(spark, folder))
+
+
+def p5_advanced(spark: SparkSession, folder: str) -> DataFrame:
+    """The orphans after two batches: what is known by the middle of the time, then the rest; the same as in one."""
+    refs, targets, _ = _p5_tables(spark, folder)
+    span = refs.agg(F.min("at").alias("a"), F.max("at").alias("b")).first()
+    middle = F.lit(span["a"] + (span["b"] - span["a"]) / 2 if span["a"] else None).cast("timestamp")
+    early = lambda c: F.coalesce(F.col(c) < middle, F.lit(True))
+    first = orphans.advance(None, refs.where(early("at")), targets.where(early("begins")))
+    first = orphans.OrphanState(*[checkpointed(x) for x in (first.targets, first.refs, first.pending)])
+    return orphans.advance(first, refs.where(~early("at")), targets.where(~early("begins"))).pending.select("ref_table", "ref_field", "record_id", "kind", "resolved_at")
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -99,7 +116,7 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return p6_units(spark, folder).where(F.col("number").isNotNull() & ~F.col("unit").isin(common)).select("reading_id", "unit").distinct()
 
 
-QUERIES = {"p1_found": p1_found, "p1_grid": p1_grid, "p1_coverage": p1_coverage, "p3_found": p3_found, "p3_flags": p3_flags, "p5_found": p5_found, "p5_snapshots": p5_snapshots, "p6_found": p6_found, "p6_units": p6_units, "p6_masked": p6_masked}
+QUERIES = {"p1_found": p1_found, "p1_grid": p1_grid, "p1_coverage": p1_coverage, "p3_found": p3_found, "p3_flags": p3_flags, "p5_found": p5_found, "p5_snapshots": p5_snapshots, "p5_advanced": p5_advanced, "p6_found": p6_found, "p6_units": p6_units, "p6_masked": p6_masked}
 
 _DEDUP = """
 f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY global_index ORDER BY received_at) AS _rn FROM frames) WHERE _rn = 1),
@@ -197,6 +214,7 @@ SQL = {
     "p6_units": _P6 + _P6_UNITS,
     "p6_found": _P6 + "SELECT DISTINCT reading_id, unit FROM u WHERE has_number AND unit NOT IN ('rad', 'rad/s', 'Nm', 'm', 'dimensionless')",
     "p5_found": _P5 + "SELECT ref_table, ref_field, record_id, kind FROM o",
+    "p5_advanced": _P5 + "SELECT ref_table, ref_field, record_id, kind, resolved_at FROM o",
     "p5_snapshots": _P5 + """, ev AS (SELECT ref_table, ref_field, strftime(ts, '%Y-%m') AS month, kind, 1 AS n, 0 AS r FROM o
   UNION ALL SELECT ref_table, ref_field, strftime(resolved_at, '%Y-%m'), kind, 0, 1 FROM o WHERE resolved_at IS NOT NULL),
 a AS (SELECT ref_table, ref_field, month, CAST(coalesce(sum(n) FILTER (WHERE kind = 'missing'), 0) AS BIGINT) AS missing, CAST(coalesce(sum(n) FILTER (WHERE kind = 'deleted'), 0) AS BIGINT) AS deleted,

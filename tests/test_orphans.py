@@ -1,3 +1,4 @@
+import pytest
 import datetime as dt
 import random
 
@@ -33,9 +34,10 @@ def data(seed):
     return refs, parents
 
 
-def test_probe_against_brute_force(spark):
+@pytest.mark.parametrize("fold_rows", [3, 1000])
+def test_probe_against_brute_force(spark, fold_rows):
     refs, parents = data(1)
-    got = orphans.probe(spark.createDataFrame(refs, REF), spark.createDataFrame(parents, PARENT).distinct())
+    got = orphans.probe(spark.createDataFrame(refs, REF), spark.createDataFrame(parents, PARENT).distinct(), fold_rows=fold_rows)
     assert kinds(got) == brute(refs, parents)
 
 
