@@ -6,7 +6,7 @@ before the shuffle by episode. Missing or non-finite input never passes silently
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from motionloom.functions.vectors import INF, all_finite, close, difference, is_finite, largest, outside
@@ -57,22 +57,20 @@ def timestamp_check(rows: DataFrame, tolerance: float = 0.2, uniform: bool = Tru
 
 
 def structure_check(rows: DataFrame, episodes: DataFrame) -> DataFrame:
-    """Row and global indices without gaps, and agreement with the episode's registered offsets."""
+    """Row and global indices without gaps, and agreement with the episode's registered offsets (Q3, C5): one flag for each."""
     meta = episodes.where(F.col(EPISODE).isNotNull()).groupBy(EPISODE).agg(F.min(F.struct("length", "dataset_from_index", "dataset_to_index")).alias("_m"))
     meta = meta.select(EPISODE, F.col("_m.length").alias("_length"), F.col("_m.dataset_from_index").alias("_from"), F.col("_m.dataset_to_index").alias("_to"))
     r = own(rows.withColumn("_g", before("global_index")).withColumn("_f", before("frame_index")))
     counted = F.when(F.col("_g").isNull(), F.col("frame_index") == 0).otherwise(F.col("frame_index") == F.col("_f") + 1)
     out = r.groupBy(EPISODE).agg(F.count(F.lit(1)).alias("n_rows"), _every(counted).alias("_frames"), _every(F.col("_g").isNull() | (F.col("global_index") == F.col("_g") + 1)).alias("_globals"), F.min("first_index").alias("_first"))
     out = out.join(meta, EPISODE, "left")
-    say = lambda wrong, text: F.when(F.coalesce(wrong, F.lit(False)), F.lit(text))
-    errors = F.array_compact(
-        F.array(
-            say(~F.col("_frames"), "noncontiguous frame indices"), say(~F.col("_globals"), "noncontiguous global indices"),
-            say(F.col("_from").isNotNull() & (~F.col("_globals") | (F.col("_from") != F.col("_first"))), "official start offset mismatch"),
-            say(F.col("_length") != F.col("n_rows"), "official length mismatch"), say(F.col("_to") - F.col("_from") != F.col("n_rows"), "official interval mismatch"),
-        )
-    )
-    return out.select(EPISODE, "n_rows", F.array_join(errors, "; ").alias("errors"), (F.size(errors) == 0).alias("passed"))
+    broken = {
+        "frame_gap": ~F.col("_frames"), "index_gap": ~F.col("_globals"), "start_differs": F.col("_from").isNotNull() & (~F.col("_globals") | (F.col("_from") != F.col("_first"))),
+        "length_differs": F.col("_length") != F.col("n_rows"), "span_differs": F.col("_to") - F.col("_from") != F.col("n_rows"),
+    }
+    out = out.withColumns({k: F.coalesce(v, F.lit(False)) for k, v in broken.items()})
+    any_broken = F.greatest(*[F.col(k) for k in broken])
+    return out.select(EPISODE, "n_rows", *broken, (~any_broken).alias("passed"))
 
 
 def length_check(rows: DataFrame, min_frames: int = 1, max_frames: int | None = None, min_seconds: float | None = None, max_seconds: float | None = None) -> DataFrame:
@@ -126,13 +124,31 @@ def derivative_check(rows: DataFrame, order: int, threshold: float | None = None
     )
 
 
+def episode_moments(rows: DataFrame, comps: list[str], flags: list[Column]) -> DataFrame:
+    """Per ``(episode, chunk)`` the whole episode's ``m`` mean, ``s`` deviation and ``a`` largest size of each component, and its flags.
+
+    Slices are summed up first and their moments then put together, so no episode is one task.
+    """
+    names = ["n_rows", "_t", "_up", "_ok"]
+    parts = rows.groupBy(EPISODE, "chunk").agg(*flags, *[f(c).alias(f"{k}{c}") for c in comps for k, f in (("n", F.count), ("m", F.avg), ("v", F.var_pop), ("a", lambda c: F.max(F.abs(F.col(c)))))])
+    whole = Window.partitionBy(EPISODE)
+    over = {"n_rows": F.sum("n_rows").over(whole), **{f: F.min(f).over(whole) for f in names[1:]}}
+    for c in comps:
+        same = F.min(f"m{c}").over(whole) == F.max(f"m{c}").over(whole)
+        mean = F.try_divide(F.sum(F.col(f"m{c}") * F.col(f"n{c}")).over(whole), F.sum(f"n{c}").over(whole))
+        over |= {f"_N{c}": F.sum(f"n{c}").over(whole), f"_M{c}": F.when(same, F.min(f"m{c}").over(whole)).otherwise(mean), f"a{c}": F.max(f"a{c}").over(whole)}
+    parts = parts.withColumns(over)
+    spread = {f"s{c}": F.sqrt(F.try_divide(F.sum(F.col(f"n{c}") * (F.col(f"v{c}") + (F.col(f"m{c}") - F.col(f"_M{c}")) ** 2)).over(whole), F.col(f"_N{c}"))) for c in comps}
+    return parts.withColumns(spread).select(EPISODE, "chunk", *names, *[F.col(f"_M{c}").alias(f"m{c}") for c in comps], *spread, *[f"a{c}" for c in comps])
+
+
 def zscore_check(rows: DataFrame, order: int = 0, threshold: float = 3.0, source: str = "state", width: int = 8, period: float | None = None) -> DataFrame:
     """Within-episode, per-component population z-scores of values (order 0, Q7) or derivatives (1, 2, Q6)."""
     r = own(with_derivative(rows.withColumn("_dt", F.col("t") - before("t")), order, source, period, width))
     comps = [f"_c{i}" for i in range(width)]
-    stats = r.groupBy(EPISODE).agg(*_usable(source), *[f(c).alias(f"{n}{c}") for c in comps for n, f in (("m", F.avg), ("s", F.stddev_pop), ("a", lambda c: F.max(F.abs(F.col(c)))))])
+    stats = episode_moments(r, comps, _usable(source))
     least = lambda c: F.lit(RESIDUE) * F.greatest(F.lit(1.0), F.col(f"a{c}")) if order else F.lit(0.0)
-    r = r.select(EPISODE, *comps).join(stats, EPISODE)
+    r = r.select(EPISODE, "chunk", *comps).join(stats, [EPISODE, "chunk"])  # by slice, as the rows lie
     z = F.array(*[F.when(F.col(f"s{c}") > least(c), F.abs(F.col(c) - F.col(f"m{c}")) / F.col(f"s{c}")).when(F.col(c).isNotNull(), F.lit(0.0)) for c in comps])
     r = r.withColumn("_z", F.array_max(z))
     flags = ["n_rows", "_t", "_up", "_ok"]
@@ -214,3 +230,9 @@ def clock_check(rows: DataFrame, tolerance: float = 0.2, max_variation: float =
     variation = F.try_divide(F.col("_std"), F.col("_mean"))
     near = F.abs(F.col("_mean") * F.col("_fps") - 1) <= tolerance
     return out.select(EPISODE, "steps", "increasing", F.round("_mean", 6).alias("mean_step"), F.round(variation, 6).alias("variation"), F.coalesce(F.col("increasing") & near & (variation <= max_variation), F.lit(False)).alias("passed"))
+
+
+def nonfinite_positions(rows: DataFrame, columns: tuple[str, ...] = ("state", "action")) -> DataFrame:
+    """Rows and vector columns with a component that is not finite: ``(episode_index, column, pos)``."""
+    bad = F.array_compact(F.array(*[F.when(~F.coalesce(F.forall(c, is_finite), F.lit(False)), F.lit(c)) for c in columns]))
+    return own(rows).select(EPISODE, F.explode(bad).alias("column"), "pos")

@@ -36,6 +36,7 @@ def review(rows: DataFrame, static_epsilon: float = 1e-4, static_seconds: float
     e = e.withColumn("static_fraction", F.coalesce(F.try_divide(F.col("still").cast("double"), F.col("n_rows") - 1), F.lit(0.0))).withColumn("longest_static_seconds", F.try_divide(F.col("run").cast("double"), F.col("fps")))
     e = e.withColumn("jitter_fraction", F.coalesce(F.try_divide(F.col("jitter").cast("double"), F.col("pairs")), F.lit(0.0))).withColumn("max_action_step", F.coalesce("max_action_step", F.lit(0.0)))
     say = lambda test, name: F.when(F.coalesce(test, F.lit(False)), F.lit(name))
+    # Names of the flags.
     flags = F.array_compact(
         F.array(
             say(F.col("longest_static_seconds") >= static_seconds, "long_static_state"), say(F.col("action_jumps") > 0, "action_step_candidate"),

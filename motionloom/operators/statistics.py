@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from motionloom.functions.vectors import is_finite
 from motionloom.operators.trajectory import own
+from motionloom.session import bounded_broadcast, checkpointed
+
+#: Groups whose ranges are broadcast.
+MAX_GROUPS = 100_000
 
 EPISODE = "episode_index"
 QUANTILES = (0.01, 0.1, 0.5, 0.9, 0.99)
@@ -24,21 +28,61 @@ def numeric_summary(rows: DataFrame, source: str) -> DataFrame:
     return c.select("component", "nonfinite", F.when(clean, F.col("_lo")).alias("minimum"), F.when(clean, F.col("_hi")).alias("maximum"))
 
 
-def moments(rows: DataFrame, source: str, *keys: str, quantiles: bool = True) -> DataFrame:
-    """Count, mean, population deviation, range and exact linear quantiles of the finite values.
+#: Cells a group's range is cut into to find where its quantiles lie.
+QUANTILE_CELLS = 4096
+
 
-    Exact quantiles keep a group's distinct values in one task; over very long columns use the mergeable percentiles.
+def exact_quantiles(values: DataFrame, keys: list[str], quantiles: tuple[float, ...] = QUANTILES) -> DataFrame:
+    """Exact linear quantiles of finite ``x`` by ``keys``: ``(keys, n, quantile, x)``, without one task per group.
+
+    Values are counted in ``QUANTILE_CELLS`` cells of their group's range; only the cells that hold a wanted rank are
+    sorted, each on its own. ``values`` is read three times, so the caller keeps it; rows with a null key are left out.
     """
+    span = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("_lo"), F.max("x").alias("_hi"))
+    cell = F.least(F.coalesce(F.floor(F.try_divide(F.col("x") - F.col("_lo"), F.col("_hi") - F.col("_lo")) * QUANTILE_CELLS), F.lit(0)), F.lit(QUANTILE_CELLS - 1)).cast("int").alias("_cell")
+    placed = values.join(bounded_broadcast(span, MAX_GROUPS), keys).select(*keys, "x", "n", cell)
+    counts = placed.groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_k"), F.first("n").alias("n"))
+    before_ = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_k").over(before_), F.lit(0)))  # at most QUANTILE_CELLS rows a group
+    at = lambda q: (F.col("n") - 1) * F.lit(q)
+    wanted = F.array(*[F.struct(F.lit(q).alias("quantile"), side(at(q)).cast("long").alias("_rank"), at(q).alias("_at")) for q in quantiles for side in (F.floor, F.ceil)])
+    wanted = counts.withColumn("_w", F.explode(wanted)).select(*keys, "_cell", "n", "_before", "_k", "_w.*").where((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_k")))
+    cells = wanted.select(*keys, "_cell", "_before").distinct()
+    held = placed.join(bounded_broadcast(cells, MAX_GROUPS), [*keys, "_cell"])
+    ranked = held.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys, "_cell").orderBy("x")) - 1 + F.col("_before")).select(*keys, "_cell", "_rank", "x")
+    ends = ranked.join(wanted, [*keys, "_cell", "_rank"]).groupBy(*keys, "n", "quantile", "_at").agg(F.min("x").alias("_a"), F.max("x").alias("_b"))
+    return ends.select(*keys, "n", "quantile", (F.col("_a") + (F.col("_b") - F.col("_a")) * (F.col("_at") - F.floor("_at"))).alias("x"))
+
+
+def moments(rows: DataFrame, source: str, *keys: str, quantiles: bool = True) -> DataFrame:
+    """Count, mean, population deviation, range and exact linear quantiles of the finite values."""
     c = components(rows, source, *keys).where(is_finite(F.col("x")))
+    c = checkpointed(c) if quantiles else c
     aggs = [F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"), F.min("x").alias("minimum"), F.max("x").alias("maximum")]
-    if quantiles:
-        aggs.append(F.percentile("x", F.array(*[F.lit(q) for q in QUANTILES])).alias("_q"))
     out = c.groupBy(*keys, "component").agg(*aggs)
     if quantiles:
-        out = out.withColumns({f"q{int(q * 100):02d}": F.col("_q")[i] for i, q in enumerate(QUANTILES)}).drop("_q")
+        q = exact_quantiles(c, [*keys, "component"]).groupBy(*keys, "component").pivot("quantile", list(QUANTILES)).agg(F.first("x"))
+        q = q.select(*keys, "component", *[F.col(f"`{x}`").alias(f"q{int(x * 100):02d}") for x in QUANTILES])
+        out = out.join(q, [*keys, "component"])
     return out
 
 
+def strided_bounds(rows: DataFrame, source: str, low: float = 0.01, high: float = 0.99, target_rows: int = 200_000) -> DataFrame:
+    """Outlier bounds of each component over rows at a stride, about ``target_rows`` in all (A8): ``(component, low, high)``.
+
+    The stride is part of the operator: an episode of ``n`` rows gives every ``n div per + 1``-th of them, ``per`` being the
+    target over the number of episodes. A component without finite values has infinite bounds.
+    """
+    r = own(rows)
+    sizes = r.groupBy(EPISODE, "chunk").agg(F.count(F.lit(1)).alias("_c")).withColumn("_n", F.sum("_c").over(Window.partitionBy(EPISODE))).drop("_c")
+    per = max(1, target_rows // max(1, sizes.select(EPISODE).distinct().count()))
+    r = r.join(sizes, [EPISODE, "chunk"]).where(F.col("pos") % F.greatest(F.lit(1), F.floor(F.col("_n") / per) + 1) == 0)
+    c = components(r, source)
+    p = c.where(is_finite(F.col("x"))).groupBy("component").agg(F.percentile("x", F.array(F.lit(low), F.lit(high))).alias("_p"))
+    every = c.select("component").distinct().join(p, "component", "left")
+    return every.select("component", F.coalesce(F.col("_p")[0], F.lit(-float("inf"))).alias("low"), F.coalesce(F.col("_p")[1], F.lit(float("inf"))).alias("high"))
+
+
 def relative(rows: DataFrame) -> DataFrame:
     """Rows with ``delta``: action minus the paired state."""
     return rows.withColumn("delta", F.zip_with("action", "state", lambda a, s: a - s))
@@ -57,6 +101,7 @@ def robust_threshold(samples: DataFrame, value: str, *keys: str, quantile: float
     beyond = good.join(out.select(*keys, "threshold"), list(keys)).groupBy(*keys).agg(F.sum(F.coalesce(F.col("_x") > F.col("threshold"), F.lit(False)).cast("long")).alias("samples_beyond"))
     excluded = samples.groupBy(*keys).agg(F.sum((~usable).cast("long")).alias("excluded"))
     out = excluded.join(out, list(keys), "left").join(beyond, list(keys), "left")
+    # Names of the states of a threshold.
     status = F.when(F.coalesce("samples", F.lit(0)) < min_samples, F.lit("insufficient_samples")).when(~is_finite(F.col("threshold")), F.lit("numeric_overflow")).otherwise(F.lit("ready"))
     return out.select(*keys, F.coalesce("samples", F.lit(0)).alias("samples"), "excluded", status.alias("status"), "median", "mad", "threshold", F.coalesce("samples_beyond", F.lit(0)).alias("samples_beyond"))
 

@@ -13,8 +13,10 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from motionloom.functions.vectors import all_finite, binarized, clipped, is_finite, largest
+from motionloom.functions.vectors import all_finite, binarized, changed_values, clipped, is_finite, largest
+from motionloom.operators.statistics import components, exact_quantiles
 from motionloom.operators.trajectory import before, in_order, own
+from motionloom.session import checkpointed
 
 EPISODE = "episode_index"
 
@@ -167,10 +169,17 @@ def clip_to(rows: DataFrame, source: str, low: Column, high: Column) -> DataFram
 
 def sampled_bounds(rows: DataFrame, source: str, width: int, low: float = 0.01, high: float = 0.99) -> DataFrame:
     """One row of percentile bounds over rows finite in all components (A7): ``lows`` and ``highs``."""
-    r = own(rows).where(all_finite(F.col(source)))
-    p = [F.percentile(F.get(F.col(source), F.lit(i)), F.array(F.lit(low), F.lit(high))).alias(f"_p{i}") for i in range(width)]
-    out = r.agg(*p)
-    return out.select(F.array(*[F.col(f"_p{i}")[0] for i in range(width)]).alias("lows"), F.array(*[F.col(f"_p{i}")[1] for i in range(width)]).alias("highs"))
+    c = checkpointed(components(own(rows).where(all_finite(F.col(source))), source))
+    q = exact_quantiles(c, ["component"], (low, high))
+    ends = q.groupBy("component").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    pick = lambda k: F.transform(F.array_sort(F.collect_list(F.struct("component", k))), lambda s: s[k])
+    return ends.where(F.col("component") < width).agg(pick("lo").alias("lows"), pick("hi").alias("highs"))
+
+
+def synchronized(rows: DataFrame, alias: str, source: str, start: int, stop: int) -> DataFrame:
+    """Rows whose stored copy ``alias`` is again the slice of its source, with ``_changed`` values of each row (X11)."""
+    part = F.slice(F.col(source), start + 1, stop - start)
+    return rows.withColumn("_changed", F.coalesce(changed_values(F.col(alias), part), F.lit(stop - start))).withColumn(alias, part)
 
 
 def padded(rows: DataFrame, to: int, mode: str = "edge") -> DataFrame:
@@ -190,3 +199,15 @@ def chunk_indices(rows: DataFrame, lengths: DataFrame, horizon: int) -> DataFram
     r = rows.join(lengths.select(EPISODE, "n_rows"), EPISODE)
     steps = F.sequence(F.lit(0), F.lit(horizon - 1))
     return r.select(EPISODE, "pos", F.transform(steps, lambda i: F.least(F.col("pos") + i, F.col("n_rows") - 1)).alias("action_positions"), F.transform(steps, lambda i: F.col("pos") + i >= F.col("n_rows")).alias("is_padding"))
+
+
+def chunk_actions(rows: DataFrame, horizon: int) -> DataFrame:
+    """Per row the next ``horizon`` actions, the last one repeated beyond the episode's end, and which are padding.
+
+    Rows need a halo of ``horizon - 1`` rows.
+    """
+    ahead = in_order().rowsBetween(0, horizon - 1)
+    r = own(rows.withColumn("_next", F.collect_list("action").over(ahead)))
+    missing = F.lit(horizon) - F.size("_next")
+    full = F.concat("_next", F.array_repeat(F.element_at("_next", -1), missing))
+    return r.select(EPISODE, "global_index", "pos", full.alias("actions"), F.transform(F.sequence(F.lit(0), F.lit(horizon - 1)), lambda i: i >= F.size("_next")).alias("is_padding"))

@@ -10,13 +10,18 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from motionloom.operators import checks
+from motionloom.operators import checks, groups
+from motionloom.operators.groups import DERIVATIVES, QualityGroup
 from motionloom.operators.trajectory import own, trajectory
 from motionloom.operators.transforms import EPISODE, all_interpolated, keep_mask, too_short
-from motionloom.plans.policy import Policy, findings, verdicts
+from motionloom.plans.policy import Policy, verdicts
 from motionloom.session import checkpointed
 
 
+#: Checks a group can have.
+GROUP_CHECKS = (*DERIVATIVES[1:], "zscore", "velocity_zscore", "acceleration_zscore", "bounds", "static_ratio")
+
+
 @dataclass(frozen=True)
 class CleanConfig:
     """What may be changed, and the policy for findings."""
@@ -29,13 +34,14 @@ class CleanConfig:
     minimum: int = 2
     velocity: float | None = None
     policy: Policy = Policy()
+    groups: tuple[QualityGroup, ...] = ()
 
 
 def audit(rows: DataFrame, config: CleanConfig) -> DataFrame:
-    """Findings of the configured checks."""
-    found = {"finite": checks.finite_check(rows), "timestamp": checks.timestamp_check(rows), "velocity": checks.derivative_check(rows, 1, config.velocity), "static_ratio": checks.static_check(rows)}
-    config.policy.check(set(found))
-    return findings(found)
+    """Findings of the configured checks, in one pass over the rows."""
+    group = QualityGroup("", "state", tuple(range(config.width)), velocity=config.velocity or 1e300, static_epsilon=1e-4)
+    config.policy.check({"finite", "timestamp", "velocity", "static_ratio", *[g.path(c) for g in config.groups for c in GROUP_CHECKS]})
+    return groups.audit(rows, [group, *config.groups], timestamp=0.2, width=config.width)
 
 
 def plan(rows: DataFrame, config: CleanConfig) -> DataFrame:

@@ -157,8 +157,8 @@ SELECT episode_index, steps, increasing, round(m, 6) AS mean_step, round(s / nul
     "check_structure": f"""WITH {TRAJECTORY}, {_STEPS},
 m AS (SELECT episode_index, min({{'a': length, 'b': dataset_from_index, 'c': dataset_to_index}}) AS m FROM episodes GROUP BY episode_index),
 a AS (SELECT episode_index, count(*) AS n, bool_and(coalesce(CASE WHEN pg IS NULL THEN frame_index = 0 ELSE frame_index = pf + 1 END, false)) AS fr, bool_and(pg IS NULL OR global_index = pg + 1) AS gl, min(first_index) AS f FROM s GROUP BY episode_index)
-SELECT a.episode_index, n AS n_rows, concat_ws('; ', CASE WHEN NOT fr THEN 'noncontiguous frame indices' END, CASE WHEN NOT gl THEN 'noncontiguous global indices' END, CASE WHEN m.b IS NOT NULL AND (NOT gl OR m.b <> f) THEN 'official start offset mismatch' END,
- CASE WHEN m.a <> n THEN 'official length mismatch' END, CASE WHEN m.c - m.b <> n THEN 'official interval mismatch' END) AS errors, fr AND gl AND coalesce(m.b = f, true) AND coalesce(m.a = n, true) AND coalesce(m.c - m.b = n, true) AS passed
+SELECT a.episode_index, n AS n_rows, NOT fr AS frame_gap, NOT gl AS index_gap, coalesce(m.b IS NOT NULL AND (NOT gl OR m.b <> f), false) AS start_differs, coalesce(m.a <> n, false) AS length_differs, coalesce(m.c - m.b <> n, false) AS span_differs,
+ fr AND gl AND coalesce(m.b = f, true) AND coalesce(m.a = n, true) AND coalesce(m.c - m.b = n, true) AS passed
 FROM a LEFT JOIN (SELECT episode_index, m.a, m.b, m.c FROM m) m USING (episode_index)""",
     "check_length": f"WITH {TRAJECTORY}, a AS (SELECT episode_index, count(*) AS n_rows, count(*) / max(fps) AS s FROM tr GROUP BY episode_index) SELECT episode_index, n_rows, round(s, 6) AS seconds, coalesce(n_rows >= 30 AND s <= 8.0, false) AS passed FROM a",
     "check_velocity": _derivative_sql(1),

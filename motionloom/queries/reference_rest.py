@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from motionloom.functions.vectors import binarized, changed_values, clipped, feature, take
-from motionloom.operators import alignment, checks, language, review, statistics, transforms
+from motionloom.operators import alignment, checks, groups, language, review, statistics, transforms
 from motionloom.operators.trajectory import own
 from motionloom.plans import policy as pol
 from motionloom.queries.reference_checks import TRAJECTORY, rounded, rows_of, with_double_counts
@@ -151,8 +151,66 @@ def review_query(s: SparkSession, d: str) -> DataFrame:
 
 
 def _found(s: SparkSession, d: str) -> DataFrame:
-    r = rows_of(s, d, ("joint_low", "joint_high"), 1)
-    return pol.findings({"finite": checks.finite_check(r), "joint_limits": checks.limits_check(r), "groups/arm/velocity": checks.derivative_check(r, 1, 5.0)})
+    return groups.audit(rows_of(s, d, ("joint_low", "joint_high"), 3), [groups.QualityGroup("arm", "state", tuple(range(8)), velocity=5.0)], limits=("joint_low", "joint_high"))
+
+
+ALL_GROUPS = [
+    groups.QualityGroup("arm", "state", tuple(range(8)), velocity=5.0, acceleration=100.0, jerk=2000.0, zscore=3.0, velocity_zscore=3.0, acceleration_zscore=3.0, static_epsilon=1e-3, static_ratio=0.2),
+]
+
+
+def group_findings(s: SparkSession, d: str) -> DataFrame:
+    """Nine checks of a group in one pass over the rows."""
+    return rounded(groups.audit(rows_of(s, d), ALL_GROUPS, min_rows=30), "value")
+
+
+def calibrate_groups(s: SparkSession, d: str) -> DataFrame:
+    """Robust thresholds of five measures of a group."""
+    return rounded(groups.calibrate_groups(rows_of(s, d), {"arm": ("state", tuple(range(8)))}, digits=6), "median", "mad", "threshold")
+
+
+def policy_summary(s: SparkSession, d: str) -> DataFrame:
+    """Findings that call for something, by path, reason and action."""
+    return pol.decisions(_found(s, d), POLICY).groupBy("path", "reason", "action").agg(F.count(F.lit(1)).alias("episodes"))
+
+
+def interpolate_rows(s: SparkSession, d: str) -> DataFrame:
+    """Gaps filled by row position instead of time."""
+    r = transforms.interpolated(_rows(s, d), F.col("state")[0], by_time=False)
+    return rounded(r.where(F.isnan(F.col("state")[0])).select("global_index", "filled"), "filled")
+
+
+def planted_duplicates(s: SparkSession, d: str) -> DataFrame:
+    """Duplicates when every episode comes again under another number."""
+    r = _rows(s, d).select(EPISODE, "is_halo", "pos", "state", "action")
+    return review.duplicates(r.unionByName(r.withColumn(EPISODE, F.col(EPISODE) + COPY)))
+
+
+def alias_sync(s: SparkSession, d: str) -> DataFrame:
+    """Values per episode that change when a stored copy is made to agree with its source."""
+    r = transforms.synchronized(_rows(s, d).withColumn("copy", take(F.col("state"), [0, 1])), "copy", "action", 0, 2)
+    return r.groupBy(EPISODE).agg(F.sum("_changed").alias("changed"))
+
+
+def chunk_values(s: SparkSession, d: str) -> DataFrame:
+    """Sums of the first component over the next actions, and padding."""
+    r = transforms.chunk_actions(rows_of(s, d, halo=CHUNK - 1), CHUNK)
+    total = F.aggregate("actions", F.lit(0.0), lambda a, x: a + x[0])
+    return rounded(r.select("global_index", F.when(~F.isnan(total), total).alias("total"), F.size(F.filter("is_padding", lambda x: x)).cast("long").alias("padding")), "total")
+
+
+def failed_episodes(s: SparkSession, d: str) -> DataFrame:
+    """Episodes with frames by the success their first registration states."""
+    e = table(s, d, "episodes").where(F.col(EPISODE).isNotNull()).groupBy(EPISODE).agg(F.min("is_episode_successful").alias("successful"))
+    return table(s, d, "frames").select(EPISODE).distinct().join(e, EPISODE).groupBy("successful").agg(F.count(F.lit(1)).alias("episodes"))
+
+
+def strided_bounds(s: SparkSession, d: str) -> DataFrame:
+    out = statistics.strided_bounds(_rows(s, d), "action", target_rows=20_000)
+    return rounded(out.withColumn("component", F.col("component").cast("long")), "low", "high")
+
+
+COPY, CHUNK = 100_000_000, 8
 
 
 def features(s: SparkSession, d: str) -> DataFrame:
@@ -175,6 +233,9 @@ QUERIES = {
     "align_exact": _align("exact"), "align_backward": _align("backward"), "align_nearest": _align("nearest"), "stats_state": stats("state"), "stats_relative": stats("delta"), "stats_by_episode": stats("state", EPISODE, quantiles=False),
     "numeric_summary": numeric_summary, "calibrate_velocity": calibrate, "task_summary": task_summary, "language_check": language_check, "language_summary": language_summary, "task_join": task_join,
     "review_episodes": review_query, "duplicate_episodes": lambda s, d: review.duplicates(_rows(s, d)), "policy_decisions": lambda s, d: pol.decisions(_found(s, d), POLICY), "policy_verdicts": lambda s, d: pol.verdicts(_found(s, d), POLICY),
+    "group_findings": group_findings, "calibrate_groups": calibrate_groups, "policy_summary": policy_summary, "rule_counters": lambda s, d: groups.rule_counters(groups.audit(rows_of(s, d), ALL_GROUPS, min_rows=30)), "transform_interpolate_rows": interpolate_rows, "duplicates_planted": planted_duplicates,
+    "alias_sync": alias_sync, "chunk_values": chunk_values, "failed_episodes": failed_episodes, "strided_bounds": strided_bounds, "check_nonfinite_rows": lambda s, d: checks.nonfinite_positions(_rows(s, d)),
+    "check_velocity_periodic": lambda s, d: rounded(checks.derivative_check(rows_of(s, d), 1, 5.0, period=0.5).withColumn("intervals_beyond", F.col("intervals_beyond").cast("double")), "peak"),
     "feature_mapping": features, "missing_episodes": missing_episodes, "task_table": lambda s, d: language.task_table_check(table(s, d, "tasks")),
 }
 COUNTS = {n: ("right_id",) for n in ("align_exact", "align_backward", "align_nearest")}

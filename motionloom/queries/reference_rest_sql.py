@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from motionloom.queries.reference_checks import SQL as _CHECKS
 from motionloom.queries.reference_checks import _STEPS, _W, TRAJECTORY, _all_ok, _derivative_ctes
 
 _FIN = "(t IS NOT NULL AND isfinite(t))"
@@ -105,3 +106,39 @@ SELECT episode_index, duplicate_of FROM m WHERE duplicate_of < episode_index""",
     "missing_episodes": "SELECT episode_index, 'no_frames' AS side FROM (SELECT DISTINCT episode_index FROM episodes EXCEPT SELECT DISTINCT episode_index FROM frames) UNION ALL SELECT episode_index, 'not_registered' FROM (SELECT DISTINCT episode_index FROM frames EXCEPT SELECT DISTINCT episode_index FROM episodes)",
     "task_table": f"WITH d AS (SELECT DISTINCT * FROM tasks), a AS (SELECT count(DISTINCT task_index) AS indices, min(task_index) AS first, max(task_index) AS last, count(*) FILTER (WHERE {_BAD.format('task')}) AS bad_texts FROM d) SELECT *, first = 0 AND last = indices - 1 AND bad_texts = 0 AS passed FROM a",
 }
+
+_PATHS = {
+    "groups/arm/velocity": ("check_velocity", "peak"), "groups/arm/acceleration": ("check_acceleration", "peak"), "groups/arm/jerk": ("check_jerk", "peak"), "groups/arm/zscore": ("check_zscore", "max_zscore"),
+    "groups/arm/velocity_zscore": ("check_velocity_zscore", "max_zscore"), "groups/arm/acceleration_zscore": ("check_acceleration_zscore", "max_zscore"), "groups/arm/static_ratio": ("check_static_ratio", "static_ratio"),
+}
+_GROUP = " UNION ALL ".join(f"SELECT episode_index, '{path}' AS path, passed, evaluated, {value} AS value FROM ({_CHECKS[name]})" for path, (name, value) in _PATHS.items())
+_GROUP += f""" UNION ALL SELECT episode_index, 'episode_length', n >= 30, true, CAST(n AS DOUBLE) FROM ({_T} SELECT episode_index, count(*) AS n FROM tr GROUP BY episode_index)
+UNION ALL SELECT episode_index, 'finite', n = 0, true, CAST(n AS DOUBLE) FROM ({_T} SELECT episode_index, count(*) FILTER (WHERE NOT ({_all_ok("state")} AND {_all_ok("action")} AND {_FIN})) AS n FROM tr GROUP BY episode_index)"""
+_SAMPLED = ", ".join(f"'groups/arm/{m}'" for m in ("velocity", "acceleration", "jerk", "velocity_zscore", "acceleration_zscore"))
+
+SQL |= {
+    "group_findings": _GROUP,
+    "rule_counters": f"SELECT path, count(*) AS runs, count(*) FILTER (WHERE passed) AS passed, count(*) FILTER (WHERE evaluated AND NOT passed) AS failed, count(*) FILTER (WHERE NOT evaluated) AS not_evaluated FROM ({_GROUP}) GROUP BY path",
+    "calibrate_groups": f"""WITH x AS (SELECT path, value AS peak FROM ({_GROUP}) WHERE path IN ({_SAMPLED})), g AS (SELECT path, count(peak) AS samples, count(*) - count(peak) AS excluded, median(peak) AS m, quantile_cont(peak, 0.995) AS q FROM x GROUP BY path),
+h AS (SELECT g.path, samples, excluded, m, q, median(abs(x.peak - m)) AS mad FROM g JOIN x USING (path) GROUP BY ALL), t AS (SELECT *, CASE WHEN samples >= 20 THEN greatest(q, m + 8.0 * 1.4826 * mad, 1e-12) END AS th FROM h)
+SELECT path, samples, excluded, CASE WHEN samples < 20 THEN 'insufficient_samples' ELSE 'ready' END AS status, round(m, 6) AS median, round(mad, 6) AS mad, round(th, 6) AS threshold, count(*) FILTER (WHERE x.peak > th) AS samples_beyond FROM t JOIN x USING (path) GROUP BY ALL""",
+    "policy_summary": f"{_T}, {_FOUND} SELECT path, reason, action, count(*) AS episodes FROM de GROUP BY ALL",
+    "transform_interpolate_rows": f"""{_T}, b AS (SELECT episode_index, global_index, pos, state[1] AS x, CASE WHEN isfinite(state[1]) THEN {{'t': pos, 'x': state[1]}} END AS g FROM tr),
+c AS (SELECT *, last_value(g IGNORE NULLS) OVER (PARTITION BY episode_index ORDER BY global_index ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS p, first_value(g IGNORE NULLS) OVER (PARTITION BY episode_index ORDER BY global_index ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS n FROM b)
+SELECT global_index, round(CASE WHEN p IS NULL AND n IS NULL THEN 0.0 WHEN p IS NULL THEN n.x WHEN n IS NULL THEN p.x ELSE p.x + (n.x - p.x) * ((pos - p.t) / nullif(n.t - p.t, 0)) END, 6) AS filled FROM c WHERE isnan(x)""",
+    "duplicates_planted": f"""{_T}, h AS (SELECT episode_index, list({{'p': pos, 's': state, 'a': action}} ORDER BY pos) AS k, bool_and({_all_ok("state")} AND {_all_ok("action")}) AS ok FROM tr GROUP BY episode_index), m AS (SELECT episode_index, min(episode_index) OVER (PARTITION BY k) AS duplicate_of FROM h WHERE ok)
+SELECT episode_index, duplicate_of FROM m WHERE duplicate_of < episode_index UNION ALL SELECT episode_index + 100000000, duplicate_of FROM m""",
+    "alias_sync": f"{_T} SELECT episode_index, CAST(sum(CAST(state[1] IS DISTINCT FROM action[1] AS INT) + CAST(state[2] IS DISTINCT FROM action[2] AS INT)) AS BIGINT) AS changed FROM tr GROUP BY episode_index",
+    "chunk_values": f"""{_T}, l AS (SELECT global_index, list(action[1]) OVER (PARTITION BY episode_index ORDER BY global_index ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) AS l FROM tr), v AS (SELECT global_index, list_sum(l) + (8 - len(l)) * l[len(l)] AS total, 8 - len(l) AS padding FROM l)
+SELECT global_index, round(CASE WHEN NOT isnan(total) THEN total END, 6) AS total, padding FROM v""",
+    "failed_episodes": "WITH e AS (SELECT episode_index, min(is_episode_successful) AS successful FROM episodes WHERE episode_index IS NOT NULL GROUP BY episode_index) SELECT successful, count(*) AS episodes FROM (SELECT DISTINCT episode_index FROM frames) JOIN e USING (episode_index) GROUP BY successful",
+    "strided_bounds": f"""{_T}, z AS (SELECT greatest(1, 20000 // count(DISTINCT episode_index)) AS per FROM tr), y AS (SELECT *, count(*) OVER (PARTITION BY episode_index) AS n FROM tr),
+u AS (SELECT unnest(range(0, 8)) AS component, unnest(action) AS x FROM y, z WHERE pos % greatest(1, n // per + 1) = 0)
+SELECT component, round(coalesce(quantile_cont(x, 0.01) FILTER (WHERE isfinite(x)), '-inf'::DOUBLE), 6) AS low, round(coalesce(quantile_cont(x, 0.99) FILTER (WHERE isfinite(x)), 'inf'::DOUBLE), 6) AS high FROM u GROUP BY component""",
+    "check_nonfinite_rows": f"{_T} SELECT episode_index, 'state' AS \"column\", pos FROM tr WHERE NOT {_all_ok('state')} UNION ALL SELECT episode_index, 'action', pos FROM tr WHERE NOT {_all_ok('action')}",
+    "check_velocity_periodic": f"""{_T}, q AS (SELECT *, t - lag(t) OVER w AS dt, lag(state) OVER w AS ps FROM tr {_W}),
+p AS (SELECT *, CASE WHEN ps IS NOT NULL AND dt <> 0 THEN list_max(list_transform(list_zip(state, ps), lambda z: abs(((z[1] - z[2] + 0.25) - floor((z[1] - z[2] + 0.25) / 0.5) * 0.5 - 0.25) / dt))) END AS peak FROM q),
+a AS (SELECT episode_index, count(*) AS n, bool_and({_FIN}) AND bool_and(coalesce(dt > 0, dt IS NULL)) AND bool_and({_all_ok("state")}) AS ok, max(peak) AS mx, count(*) FILTER (WHERE peak > 5.0) AS b FROM p GROUP BY episode_index),
+v AS (SELECT *, n > 1 AND ok AND coalesce(isfinite(mx), false) AS ev FROM a)
+SELECT episode_index, ev AS evaluated, round(CASE WHEN ev THEN mx END, 6) AS peak, CAST(CASE WHEN ev THEN b END AS DOUBLE) AS intervals_beyond, ev AND b = 0 AS passed FROM v""",
+}

@@ -72,9 +72,9 @@ def test_structure_and_repeats(spark, frames, episodes, chunk):
     f = frames([[0.0, 0.0]] * 12)
     r = trajectory(f.unionByName(f.limit(4)), episodes(1, length=12), width=2, chunk_rows=chunk)
     assert one(checks.structure_check(r, episodes(1, length=12)))["passed"]
-    assert one(checks.structure_check(r, episodes(1, length=11)))["errors"] == "official length mismatch; official interval mismatch"
+    assert one(checks.structure_check(r, episodes(1, length=11)))["length_differs"]
     hole = trajectory(f.where("global_index <> 5"), episodes(1), width=2, chunk_rows=chunk)
-    assert one(checks.structure_check(hole, episodes(1)))["errors"].startswith("noncontiguous frame indices; noncontiguous global indices")
+    assert one(checks.structure_check(hole, episodes(1)))["frame_gap"] and one(checks.structure_check(hole, episodes(1)))["index_gap"]
     assert trajectory(f.where("false"), episodes(1), width=2).count() == 0
     assert trajectory(f, episodes(7), width=2).count() == 0
 
@@ -115,4 +115,4 @@ def test_rows_across_gaps_of_the_key(frames, episodes):
         r = r.withColumn("_p", F.lag("global_index", halo).over(in_order())).withColumn("_n", F.lead("global_index", halo).over(in_order()))
         got = {a["global_index"]: (a["_p"], a["_n"]) for a in own(r).collect()}
         assert got == {x: (at[k - halo] if k >= halo else None, at[k + halo] if k + halo < len(at) else None) for k, x in enumerate(at)}
-    assert "noncontiguous global indices" in str(checks.structure_check(trajectory(f.where(F.col("global_index").isin(0, 1, 2, width + 50)), episodes(1), width=2, halo=1), episodes(1)).collect())
+    assert checks.structure_check(trajectory(f.where(F.col("global_index").isin(0, 1, 2, width + 50)), episodes(1), width=2, halo=1), episodes(1)).first()["index_gap"]
