@@ -170,8 +170,8 @@ def audit(rows: DataFrame, groups: list[QualityGroup], finite: bool = True, time
             ratio = F.try_divide(F.col(f"_{tag}_still").cast("double"), F.col("_rows") - 1)
             add(g.path("static_ratio"), F.col(f"_{tag}_ok") & (F.col("_rows") > 1), F.lit(True) if g.static_ratio is None else ratio <= g.static_ratio, ratio)
     e = own(r).groupBy(EPISODE).agg(*[c.alias(n) for n, c in aggs.items()])
-    for n, c in scored.items():
-        e = e.withColumn(n, c)
+    for part in (False, True):  # scores of components, then the largest of each check
+        e = e.withColumns({n: c for n, c in scored.items() if (n.count("_") == 3) == part})
     kept = {f"_v{k}": (path, *found[path]) for k, path in enumerate(values)}
     e = e.withColumns({name: values[path] for name, (path, _, _) in kept.items()})
     structs = [F.struct(F.lit(path).alias("path"), F.coalesce(ev & ok, F.lit(False)).alias("passed"), ev.alias("evaluated"), F.when(ev, F.col(name)).alias("value")) for name, (path, ev, ok) in kept.items()]

@@ -76,8 +76,9 @@ def fit_forest(x: np.ndarray, rng: np.random.Generator, trees: int = TREES, samp
     feature = np.full((trees, nodes), -1, np.int8)
     cut = np.zeros((trees, nodes), np.float32)
     length = np.zeros((trees, nodes), np.float32)
-    room, weights = np.array(ROOM), np.array(WEIGHTS)
+    room = np.array(ROOM)
     for k in range(trees):
+        chosen, place = rng.choice(len(WEIGHTS), nodes, p=WEIGHTS), rng.random(nodes)
         rows = rng.choice(len(x), min(sample, len(x)), replace=False)
         stack = [(0, 0, x[rows])]
         while stack:
@@ -85,10 +86,12 @@ def fit_forest(x: np.ndarray, rng: np.random.Generator, trees: int = TREES, samp
             if d == depth or not len(part):
                 length[k, node] = d + average_path(len(part))
                 continue
-            f = int(rng.choice(len(weights), p=weights))
-            c = rng.uniform(part[:, f].min(), part[:, f].max() + room[f])
+            f = chosen[node]
+            x_f = part[:, f]
+            lo = x_f.min()
+            c = lo + place[node] * (x_f.max() + room[f] - lo)
             feature[k, node], cut[k, node] = f, c
-            right = part[:, f] > c
+            right = x_f > c
             stack.append((2 * node + 1, d + 1, part[~right]))
             stack.append((2 * node + 2, d + 1, part[right]))
     return {"feature": feature, "cut": cut, "length": length, "depth": depth, "norm": max(average_path(min(sample, len(x))), 1e-9)}
@@ -404,6 +407,8 @@ def implausible_readings(
 
     stats = sliced(side.join(bounded_broadcast(rates, MAX_BROADCAST_SOURCES), "source")).mapInArrow(lambda it: _survey(it, fields, width), STATS_SCHEMA)
     stats = stats.groupBy("source", "channel", "bin", "reading").agg(F.sum("n").alias("n"))
+    # A number of partitions is asked for, so that small inputs are not put together and fitted one after the other.
+    stats = stats.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "source")
     models = checkpointed(stats.groupBy("source").applyInPandas(lambda pdf: _fit_source(pdf, readings, seed), "source string, model binary"))
     buckets = max(1, -(-models.count() // SOURCES_AT_ONCE))
     bucket = F.pmod(F.xxhash64("source"), F.lit(buckets))

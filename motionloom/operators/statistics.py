@@ -89,7 +89,11 @@ def relative(rows: DataFrame) -> DataFrame:
 
 
 def robust_threshold(samples: DataFrame, value: str, *keys: str, quantile: float = 0.995, mad_k: float = 8.0, mad_scale: float = 1.4826, min_samples: int = 20, floor: float = 1e-12) -> DataFrame:
-    """Per group the larger of a quantile and median plus scaled MAD of finite, non-negative samples."""
+    """Per group the larger of a quantile and median plus scaled MAD of finite, non-negative samples.
+
+    Samples, usually one per episode, are read several times and checkpointed first.
+    """
+    samples = checkpointed(samples.select(*keys, value))
     x = F.col(value)
     usable = is_finite(x) & (x >= 0)
     good = samples.where(usable).select(*keys, x.cast("double").alias("_x"))
