@@ -135,9 +135,11 @@ _MESSAGE_STEMS = (
 _REASON_CHARS = 60
 #: Mean leaning of its words to messages from which a text without any stem is judged too.
 LEANING = 0.05
-_REASON_STEMS = ("forbidden", "gone", "bad request", "bad gateway", "internal", "unavailable", "timeout", "time-out", "slow down", "conflict", "not implemented", "not allowed", "too large")
+_REASON_STEMS = ("forbidden", "bad request", "bad gateway", "internal", "unavailable", "timeout", "time-out", "slow down", "conflict", "not implemented", "not allowed", "too large")
 _FILLER_STEMS = ("lorem", "text", "dummy", "placeholder", "here", "bla", "foo", "asdf", "qwerty", "test", "abc", "filler", "relleno", "ejemplo", "示例", "占位", "测试", "xxx")
 _PLACE_SIGNS = ("{", "<", "%(", "@@", "[", "__", "XXXX", "%", "HERE")
+#: The one reason that is also a common word: it counts alone.
+_GONE = re.compile(r"(?i)\W*gone\W*$")
 _STATUS = re.compile(r"[45]\d\d")
 _ASCII_WORD = re.compile(r"[a-z]+")
 
@@ -181,7 +183,7 @@ def _stems() -> ahocorasick.Automaton:
 def may_tell(sentence: str) -> bool:
     """Whether a sentence has a stem of a message, a status number, or words that lean to messages."""
     low = sentence.lower()
-    if next(_stems().iter(low), None) is not None or _STATUS.search(low):
+    if next(_stems().iter(low), None) is not None or _STATUS.search(low) or _GONE.match(low):
         return True
     lean = message_model().leaning
     return sum(lean(w) for w in _ASCII_WORD.findall(low)) > 0
@@ -204,7 +206,7 @@ def telling(sentence: str) -> str | None:
     """The kind of message whose turns of phrase a sentence has."""
     low = sentence.lower()
     stems = _MESSAGE_STEMS if len(sentence) > _REASON_CHARS else _MESSAGE_STEMS + _REASON_STEMS
-    if not any(stem in low for stem in stems) and not _STATUS.search(sentence):
+    if not any(stem in low for stem in stems) and not _STATUS.search(sentence) and not _GONE.match(sentence):
         return None
     return "script" if SCRIPT.search(sentence) else "sign_in" if SIGN_IN.search(sentence) else "error" if ERROR.search(sentence) else None
 
@@ -244,15 +246,15 @@ def has_place(text: str) -> bool:
 
 def is_filler(text: str) -> bool:
     """Nothing but stock filler phrases, or one sign or token over and over."""
-    signs = re.sub(r"\s", "", text)
-    if len(signs) >= 4 and len(set(signs.lower())) == 1:
-        return True
     low = text.lower()
     tokens = low.split()
+    signs = "".join(tokens)
+    if len(signs) >= 4 and signs == signs[0] * len(signs):
+        return True
     if len(tokens) >= REPEATED_TOKENS and len({t.strip(".,;:!?") for t in tokens}) == 1:
         return True
     latin = _ASCII_WORD.findall(low)
-    if len(latin) >= _LATIN_WORDS and sum(w in LATIN for w in latin) >= _LATIN_SHARE * len(latin):
+    if len(latin) >= _LATIN_WORDS and len(LATIN.intersection(latin)) > 1 and sum(w in LATIN for w in latin) >= _LATIN_SHARE * len(latin):
         return True
     if any(stem in low for stem in _FILLER_STEMS) and _FILLER.search(text):
         rest = re.sub(r"[\W\d_]+", "", _FILLER.sub(" ", text))
@@ -334,7 +336,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hosts, text = b.column("host").fill_null(""), b.column("hash").to_numpy(zero_copy_only=False)
         x = Batch(b.column("text"), hosts)
         text_id, text_no = np.unique(text, return_inverse=True)
-        pairs = np.unique(np.stack([x.word.astype(np.int64), text_no[x.text_of[x.line_of]]], axis=1), axis=0) if len(x.word) else np.zeros((0, 2), np.int64)
+        pairs = np.stack(np.divmod(np.unique(x.word.astype(np.int64) * len(text_id) + text_no[x.text_of[x.line_of]]), len(text_id)), axis=1)
         first = np.flatnonzero(np.append(True, pairs[1:, 0] != pairs[:-1, 0])) if len(pairs) else np.zeros(0, np.int64)
         rank = np.arange(len(pairs)) - np.repeat(first, np.diff(np.append(first, len(pairs))))
         pairs = pairs[rank <= LEAST_COUNT]
@@ -365,7 +367,7 @@ def _any_of(stems: tuple[str, ...]) -> str:
 
 #: Texts with any of these are judged one by one.
 _PREFILTER = (
-    "(?i:" + "|".join(map(re.escape, _MESSAGE_STEMS + _REASON_STEMS)) + "|[45][0-9][0-9]|lorem|dummy|placeholder|sample text|(?:text|content)(?: goes)? here|\\bbla|\\bfoo\\b|asdf|qwerty|\\btest\\b|abcabc|\\babc\\b|filler"
+    "(?i:" + "|".join(map(re.escape, _MESSAGE_STEMS + _REASON_STEMS)) + "|[45][0-9][0-9]|lorem|dummy|placeholder|sample text|(?:text|content)(?: goes)? here|\\bbla+h?\\b|(?:^|\n)\\W*gone\\W*(?:\n|$)|\\bfoo\\b|asdf|qwerty|\\btest\\b|abcabc|\\babc\\b|filler"
     "|beispieltext|blindtext|mustertext|relleno|texto de ejemplo|示例|占位|测试|xxx)|[{<\\[%]|@@|__|XXXX|HERE"
 )
 
@@ -394,7 +396,7 @@ def _verdicts(b: pa.RecordBatch, words: np.ndarray, lines: np.ndarray) -> list[s
         boilerplate.setdefault(int(x.text_of[at]), set()).add(at - int(first[x.text_of[at]]))
     vocabulary = Recurrent("w", words)
     asked = gibberish | seen | latin | leaning
-    return [judge(t, frozenset(boilerplate.get(k, ())), vocabulary)[0] if t and (asked[k] or len(set(t)) <= 16) else None for k, t in enumerate(texts.to_pylist())]
+    return [judge(t, frozenset(boilerplate.get(k, ())), vocabulary if gibberish[k] else None)[0] if t and (asked[k] or len(set(t)) <= 16) else None for k, t in enumerate(texts.to_pylist())]
 
 
 def _sorted_hashes(keys: DataFrame) -> np.ndarray:
