@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from motionloom.session import bounded_broadcast
+from motionloom.session import bounded_broadcast, checkpointed
 
 FOLD_ROWS = 100_000
 #: Keys of more than ``FOLD_ROWS`` references are broadcast up to this many.
@@ -64,7 +64,7 @@ def with_folds(rows: DataFrame, hot: DataFrame | None, fold_rows: int) -> DataFr
 
 def probe(refs: DataFrame, targets: DataFrame, sizes: DataFrame | None = None, fold_rows: int = FOLD_ROWS) -> DataFrame:
     """Pending orphans ``(ref_table, ref_field, key, record_id, at, kind, resolved_at)`` of the references."""
-    hot = (key_sizes(refs) if sizes is None else sizes).where(F.col("n") > fold_rows)
+    hot = checkpointed((key_sizes(refs) if sizes is None else sizes).where(F.col("n") > fold_rows))  # counted once, few rows
     hot = None if hot.isEmpty() else hot
     first = F.timestamp_micros(F.lit(-62135596800000000))
     begins = F.coalesce("begins", first)
